@@ -12,13 +12,14 @@ from tenderline.operators.joins import null_safe_join
 
 
 def read_whole(df: DataFrame) -> DataFrame:
-    """The same rows, but every consumer reads all columns.
+    """The same rows, computed once for all consumers of one query.
 
-    Column pruning would otherwise give two consumers of one aggregate two slightly different
-    plans, each with its own scan and shuffle. With equal plans the second one is a reused
-    exchange. The test is true for every row.
+    Column pruning and filters of a consumer would otherwise move below this point and give two
+    consumers of one aggregate two slightly different plans, each with its own scan and shuffle.
+    The test holds for every row, reads all columns and is not deterministic, so neither moves
+    past it: the plans below stay equal and the second one becomes a reused exchange.
     """
-    return df.where(F.xxhash64(*df.columns) >= F.lit(-(2**63)))
+    return df.where(F.rand() + F.lit(2) > F.signum(F.xxhash64(*df.columns)))
 
 
 def share(

@@ -76,7 +76,7 @@ FROM shown
 bought AS (
   SELECT l.*, customer_name, supplier_name, created_when
   FROM category_line l JOIN named_deal USING (order_id) JOIN last_state USING (order_id)
-  WHERE quantity <> 0 AND price <> 0 AND customer_id NOT IN (7, 77, 777) AND order_day >= DATE '2001-01-01')
+  WHERE quantity <> 0 AND price <> 0 AND customer_id NOT IN (7, 77, 777) AND order_day >= DATE '1999-01-01')
 SELECT customer_name, supplier_name, product_name, category,
        strftime(min(created_when), '%Y-%m-%d %H:%M:%S') AS first_order_at,
        strftime(max(created_when), '%Y-%m-%d %H:%M:%S') AS last_order_at, count(DISTINCT order_id) AS orders,
@@ -93,7 +93,7 @@ FROM bought GROUP BY customer_name, supplier_name, product_name, category HAVING
 bought AS (
   SELECT l.*, customer_id, customer_name, supplier_name, created_when
   FROM category_line l JOIN named_deal USING (order_id) JOIN last_state USING (order_id)
-  WHERE quantity <> 0 AND price <> 0 AND order_day >= DATE '2001-01-01')
+  WHERE quantity <> 0 AND price <> 0 AND order_day >= DATE '1999-01-01')
 SELECT customer_id, customer_name, supplier_name, product_name, category,
        strftime(min(created_when), '%Y-%m-%d %H:%M:%S') AS first_order_at,
        strftime(max(created_when), '%Y-%m-%d %H:%M:%S') AS last_order_at, count(DISTINCT order_id) AS orders,

@@ -108,7 +108,7 @@ SAMPLE = Params(
     as_of=date(2001, 8, 2),
     weeks_as_of=date(2001, 8, 1),
     payments=Period(date(2001, 1, 1), date(2001, 6, 30)),
-    cycles_since=date(2001, 1, 1),
+    cycles_since=date(1999, 1, 1),
     excluded=(7, 77, 777),
     excluded_mails=("user3@example.org", "user41@example.org"),
 )

@@ -155,12 +155,13 @@ def customer_totals(
     cancelled purchases per tied event, and sole-trader purchases per line.
     """
     facts = order_facts(t, FINISHED_BUCKETS, period, need_items=False)
-    pairs = per_pair(t, facts, FINISHED_BUCKETS, buyers).join(supplier_weights(t), "supplier_id", "left")
+    pairs = per_pair(t, facts, FINISHED_BUCKETS, buyers)
+    weights = supplier_weights(t)
     names = customer_names(t).select("customer_id", "customer_name")
     keys = [*buyers.keys, "customer_name", *CUSTOMER_BLOCKS]
     if buyers.split:
         # Nothing merges across customers, so one pass per customer is enough.
-        totals = pairs.groupBy("customer_id").agg(
+        totals = pairs.join(weights, "supplier_id", "left").groupBy("customer_id").agg(
             F.sum("orders").alias("orders"),
             F.sum("amount").alias("amount"),
             _suppliers("orders").alias("suppliers"),
@@ -171,7 +172,7 @@ def customer_totals(
         )
     else:
         whole = read_whole(pairs)
-        blocks = whole.groupBy("customer_id").agg(*_weighted_blocks(distinct))
+        blocks = whole.join(weights, "supplier_id", "left").groupBy("customer_id").agg(*_weighted_blocks(distinct))
         base = whole.where(F.col("orders") > 0).select("customer_id", "supplier_id", "orders", "amount")
         rows = base.join(blocks, "customer_id").join(names, "customer_id").groupBy(*keys).agg(
             F.sum("amount").alias("amount"),

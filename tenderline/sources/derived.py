@@ -7,7 +7,9 @@ the optimizer drop the branches a report does not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderline.functions.labels import CONTRACT_STATES, ORDER_STATES, REGISTRY_STAGES
@@ -26,296 +28,257 @@ STAR = {
 SUPPLIER_IDS = 100_000_000
 CONTRACT_IDS = 200_000_000
 SECOND_AGENT_IDS = 300_000_000
+SUPPLIER_STATE_IDS = 5_000_000_000
+REGISTRATION_IDS = 6_000_000_000
 
 
-def _pick(values: list, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
-def _digits(value: Column, width: int) -> Column:
-    return F.lpad(value.cast("string"), width, "0")
+def _pick(words: Iterable[str], index: str) -> str:
+    listed = ", ".join(f"'{w}'" for w in words)
+    return f"element_at(array({listed}), cast(({index}) + 1 as int))"
 
 
-def _days_after(start: Column, days: Column) -> Column:
-    return F.timestamp_add("DAY", days.cast("int"), start)
+def _later(start: str, days: str) -> str:
+    return f"timestampadd(DAY, cast({days} as int), {start})"
 
 
-def _moment(text: str) -> Column:
-    return F.lit(text).cast("timestamp_ntz")
+def _shared_inn(group: str) -> str:
+    return f"concat('7', lpad(cast({group} as string), if({group} % 4 = 0, 11, 9), '0'))"
 
 
 def derive(spark: SparkSession, sf_dir: str) -> Tables:
     def star(name: str) -> DataFrame:
         return spark.read.schema(STAR[name]).parquet(f"{sf_dir}/{name}.parquet")
 
+    def supplier_count() -> DataFrame:
+        return star("supplier").agg(F.count(F.lit(1)))
+
     def order_s(_: Tables) -> DataFrame:
-        o, c = F.col("o_orderkey"), F.col("o_custkey")
-        return star("orders").select(
-            o.alias("id"),
-            o.cast("string").alias("order_number"),
-            F.col("o_orderdate").alias("created_when"),
-            F.concat(F.lit("user"), (o % 50).cast("string")).alias("created_by"),
-            (F.lit(CONTRACT_IDS) + c * 3 + o % 3).alias("fk_contract_id"),
-            F.lit(None).cast("decimal(18,2)").alias("customer_payment_sum"),
+        return star("orders").selectExpr(
+            "o_orderkey as id",
+            "cast(o_orderkey as string) as order_number",
+            "o_orderdate as created_when",
+            "concat('user', cast(o_orderkey % 50 as string)) as created_by",
+            f"{CONTRACT_IDS} + o_custkey * 3 + o_orderkey % 3 as fk_contract_id",
+            "cast(null as decimal(18,2)) as customer_payment_sum",
         )
 
     def order_item(_: Tables) -> DataFrame:
-        order, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
-        free = (order % 20 == 0) & (line == 7)
         lines = star("lineitem").join(star("part"), F.col("l_partkey") == F.col("p_partkey"))
-        return lines.select(
-            (order * 10 + line).alias("id"),
-            order.alias("fk_order_id"),
-            F.when(free, F.lit(0)).otherwise(F.col("l_extendedprice")).cast("decimal(18,2)").alias("price"),
-            F.col("l_quantity").cast("decimal(10,0)").alias("quantity"),
-            F.col("p_name").alias("product_name"),
-            F.when(part % 97 != 0, part).alias("fk_supplier_product_id"),
+        return lines.selectExpr(
+            "l_orderkey * 10 + l_linenumber as id",
+            "l_orderkey as fk_order_id",
+            "cast(if(l_orderkey % 20 = 0 and l_linenumber = 7, 0, l_extendedprice) as decimal(18,2)) as price",
+            "cast(l_quantity as decimal(10,0)) as quantity",
+            "p_name as product_name",
+            "if(l_partkey % 97 <> 0, l_partkey, null) as fk_supplier_product_id",
         )
 
     def contract(_: Tables) -> DataFrame:
-        suppliers = star("supplier").agg(F.count(F.lit(1)).alias("n_suppliers"))
-        c, i = F.col("c"), F.col("i")
-        kind, year = (c + i) % 3, (c + i) % 5
-        start = F.date_add(F.lit("2000-01-01").cast("date"), (c % 300).cast("int"))
+        start = "date_add(date'2000-01-01', cast(c % 300 as int))"
         return (
             star("customer")
-            .select(F.col("c_custkey").alias("c"), F.explode(F.array(*[F.lit(k) for k in range(3)])).alias("i"))
-            .select("c", "i", suppliers.scalar().alias("n_suppliers"))
-            .select(
-                (F.lit(CONTRACT_IDS) + c * 3 + i).alias("id"),
-                F.concat(F.lit("C-"), (c * 3 + i).cast("string")).alias("contract_number"),
-                c.alias("fk_customer_id"),
-                (F.lit(SUPPLIER_IDS) + (c * 7 + i * 31) % F.col("n_suppliers")).alias("fk_supplier_id"),
-                _pick(["FULL", "PARTIAL", "POSTPAY"], kind).alias("payment_type"),
-                F.when((kind == 0) & (c % 2 == 0), F.lit(100))
-                .when((kind == 1) & (c % 4 != 3), _pick([30, 50, 70, 70], c % 4))
-                .cast("int")
-                .alias("pre_payment_percent"),
-                F.when((kind == 1) & (c % 5 == 0), F.lit(10))
-                .when((kind == 2) & (c % 2 == 0), F.lit(14))
-                .when(kind == 2, F.lit(30))
-                .alias("pay_delay_days"),
-                start.alias("from_date"),
-                F.when(year == 1, F.date_add(start, 730))
-                .when(year != 0, F.date_add(start, 365))
-                .alias("to_date"),
+            .selectExpr("c_custkey as c", "explode(array(0, 1, 2)) as i")
+            .withColumn("n_suppliers", supplier_count().scalar())
+            .selectExpr(
+                f"{CONTRACT_IDS} + c * 3 + i as id",
+                "concat('C-', cast(c * 3 + i as string)) as contract_number",
+                "c as fk_customer_id",
+                f"{SUPPLIER_IDS} + (c * 7 + i * 31) % n_suppliers as fk_supplier_id",
+                f"{_pick(('FULL', 'PARTIAL', 'POSTPAY'), '(c + i) % 3')} as payment_type",
+                "case (c + i) % 3 when 0 then if(c % 2 = 0, 100, null)"
+                " when 1 then element_at(array(30, 50, 70, null), cast(c % 4 + 1 as int)) end as pre_payment_percent",
+                "case (c + i) % 3 when 1 then if(c % 5 = 0, 10, null)"
+                " when 2 then if(c % 2 = 0, 14, 30) end as pay_delay_days",
+                f"{start} as from_date",
+                f"case (c + i) % 5 when 0 then null when 1 then date_add({start}, 730)"
+                f" else date_add({start}, 365) end as to_date",
             )
         )
 
     def contract_event(_: Tables) -> DataFrame:
-        c, x, r = F.col("c"), F.col("x"), F.col("r")
         return (
             star("customer")
-            .select(F.col("c_custkey").alias("c"), F.explode(F.array(*[F.lit(k) for k in range(3)])).alias("i"))
-            .select("c", (c * 3 + F.col("i")).alias("x"))
-            .select("c", "x", F.explode(F.sequence(F.lit(0).cast("bigint"), x % 2)).alias("r"))
-            .select(
-                (F.lit(CONTRACT_IDS) + x).alias("fk_contract_id"),
-                _pick(list(CONTRACT_STATES), (x + r * 2) % 6).alias("contract_state"),
-                _days_after(_moment("2000-01-01"), c % 300 + r * 15).alias("created_when"),
+            .selectExpr("c_custkey as c", "explode(array(0, 1, 2)) as i")
+            .selectExpr("c", "c * 3 + i as x", "explode(sequence(0L, (c * 3 + i) % 2)) as r")
+            .selectExpr(
+                f"{CONTRACT_IDS} + x as fk_contract_id",
+                f"{_pick(CONTRACT_STATES, '(x + 2 * r) % 6')} as contract_state",
+                f"{_later('timestamp_ntz' + repr('2000-01-01'), '(c % 300 + 15 * r)')} as created_when",
             )
         )
 
     def customer(_: Tables) -> DataFrame:
-        return star("customer").select(F.col("c_custkey").alias("id"))
+        return star("customer").selectExpr("c_custkey as id")
 
     def supplier(_: Tables) -> DataFrame:
-        s = F.col("s_suppkey")
-        return star("supplier").select(
-            (F.lit(SUPPLIER_IDS) + s).alias("id"),
-            _days_after(_moment("1993-01-01"), s % 365).alias("created_when"),
-            F.concat(F.lit("user"), (s % 50).cast("string")).alias("created_by"),
+        return star("supplier").selectExpr(
+            f"{SUPPLIER_IDS} + s_suppkey as id",
+            f"{_later('timestamp_ntz' + repr('1993-01-01'), '(s_suppkey % 365)')} as created_when",
+            "concat('user', cast(s_suppkey % 50 as string)) as created_by",
         )
 
     def agent(_: Tables) -> DataFrame:
-        c, s = F.col("c_custkey"), F.col("s_suppkey")
-        nothing, text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
-
-        def shared_inn(group: Column) -> Column:
-            return F.concat(
-                F.lit("7"), F.when(group % 4 == 0, _digits(group, 11)).otherwise(_digits(group, 9))
-            )
-
-        buyers = star("customer").select(
-            c.alias("id"),
-            F.col("c_name").alias("name"),
-            F.when(c % 50 == 0, shared_inn(F.floor(c / 50)))
-            .otherwise(F.concat(F.lit("9"), _digits(c, 9)))
-            .alias("inn"),
-            text.alias("kpp"),
-            c.alias("fk_customer_id"),
-            nothing.alias("fk_supplier_id"),
-            _moment("1993-01-01").alias("created_when"),
-            F.lit("user0").alias("created_by"),
-        )
-        seconds = star("customer").where(c % 200 == 1).select(
-            (F.lit(SECOND_AGENT_IDS) + c).alias("id"),
-            F.col("c_name").alias("name"),
-            F.concat(F.lit("8"), _digits(c, 9)).alias("inn"),
-            text.alias("kpp"),
-            c.alias("fk_customer_id"),
-            nothing.alias("fk_supplier_id"),
-            _moment("1993-01-01").alias("created_when"),
-            F.lit("user0").alias("created_by"),
+        def of_customer(ident: str, inn: str) -> list[str]:
+            return [
+                f"{ident} as id",
+                "c_name as name",
+                f"{inn} as inn",
+                "cast(null as string) as kpp",
+                "c_custkey as fk_customer_id",
+                "cast(null as bigint) as fk_supplier_id",
+                "timestamp_ntz'1993-01-01' as created_when",
+                "'user0' as created_by",
+            ]
+
+        own_inn = "concat('9', lpad(cast(c_custkey as string), 9, '0'))"
+        group = "(c_custkey div 50)"
+        buyers = star("customer").selectExpr(
+            *of_customer("c_custkey", f"if(c_custkey % 50 = 0, {_shared_inn(group)}, {own_inn})")
         )
-        group = (
-            F.when(s % 50 >= 38, s - (s % 50 - 38))
-            .when(s % 10 < 6, s - (s % 10) % 3)
-            .otherwise(s)
+        seconds = (
+            star("customer")
+            .where("c_custkey % 200 = 1")
+            .selectExpr(
+                *of_customer(
+                    f"{SECOND_AGENT_IDS} + c_custkey", "concat('8', lpad(cast(c_custkey as string), 9, '0'))"
+                )
+            )
         )
-        sellers = star("supplier").select(
-            (F.lit(SUPPLIER_IDS) + s).alias("id"),
-            F.col("s_name").alias("name"),
-            shared_inn(group).alias("inn"),
-            F.when(s % 7 != 0, _digits(s, 9)).alias("kpp"),
-            nothing.alias("fk_customer_id"),
-            (F.lit(SUPPLIER_IDS) + s).alias("fk_supplier_id"),
-            _days_after(_moment("1993-01-01"), s % 365).alias("created_when"),
-            F.concat(F.lit("user"), (s % 50).cast("string")).alias("created_by"),
+        sellers = (
+            star("supplier")
+            .selectExpr(
+                "s_suppkey as s",
+                "s_name",
+                "case when s_suppkey % 50 >= 38 then s_suppkey - (s_suppkey % 50 - 38)"
+                " when s_suppkey % 10 < 6 then s_suppkey - (s_suppkey % 10) % 3 else s_suppkey end as g",
+            )
+            .selectExpr(
+                f"{SUPPLIER_IDS} + s as id",
+                "s_name as name",
+                f"{_shared_inn('g')} as inn",
+                "if(s % 7 = 0, null, lpad(cast(s as string), 9, '0')) as kpp",
+                "cast(null as bigint) as fk_customer_id",
+                f"{SUPPLIER_IDS} + s as fk_supplier_id",
+                f"{_later('timestamp_ntz' + repr('1993-01-01'), '(s % 365)')} as created_when",
+                "concat('user', cast(s % 50 as string)) as created_by",
+            )
         )
         return buyers.unionByName(seconds).unionByName(sellers)
 
     def user_s(_: Tables) -> DataFrame:
-        return spark.range(50).select("id", F.concat(F.lit("user"), F.col("id").cast("string")).alias("user_name"))
+        return spark.range(50).selectExpr("id", "concat('user', cast(id as string)) as user_name")
 
     def employee(_: Tables) -> DataFrame:
-        u = F.col("id")
-        suppliers = star("supplier").agg(F.count(F.lit(1)).alias("n_suppliers"))
         return (
             spark.range(48)
-            .select("id", suppliers.scalar().alias("n_suppliers"))
-            .select(
-                u.alias("fk_user_id"),
-                F.concat(F.lit("Surname"), u.cast("string")).alias("surname"),
-                F.concat(F.lit("Name"), (u % 7).cast("string")).alias("first_name"),
-                F.concat(F.lit("user"), u.cast("string"), F.lit("@example.org")).alias("mail"),
-                F.when(u % 2 == 0, u).alias("fk_customer_id"),
-                F.when(
-                    (u % 2 == 1) | (u % 10 == 0), F.lit(SUPPLIER_IDS) + u % F.col("n_suppliers")
-                ).alias("fk_supplier_id"),
+            .withColumn("n_suppliers", supplier_count().scalar())
+            .selectExpr(
+                "id as fk_user_id",
+                "concat('Surname', cast(id as string)) as surname",
+                "concat('Name', cast(id % 7 as string)) as first_name",
+                "concat('user', cast(id as string), '@example.org') as mail",
+                "if(id % 2 = 0, id, null) as fk_customer_id",
+                f"if(id % 2 = 1 or id % 10 = 0, {SUPPLIER_IDS} + id % n_suppliers, null) as fk_supplier_id",
             )
         )
 
     def event_log(_: Tables) -> DataFrame:
-        o, s, i = F.col("o_orderkey"), F.col("s_suppkey"), F.col("i")
-        zero = F.lit(0).cast("bigint")
-        text = F.lit(None).cast("string")
-
-        def wide(df: DataFrame, kind: str, ident: Column, entity: Column, at: Column, **typed: Column) -> DataFrame:
-            detail = ["order_state", "supplier_state", "registry_stage", "parameter_name", "new_value"]
-            return df.select(
-                ident.alias("id"),
-                entity.alias("event_driven_id"),
-                F.lit(kind).alias("event_type"),
-                at.alias("created_when"),
-                *[typed.get(name, text).alias(name) for name in detail],
+        details = ("order_state", "supplier_state", "registry_stage", "parameter_name", "new_value")
+
+        def wide(df: DataFrame, kind: str, ident: str, entity: str, moment: str, **typed: str) -> DataFrame:
+            return df.selectExpr(
+                f"{ident} as id",
+                f"{entity} as event_driven_id",
+                f"'{kind}' as event_type",
+                f"{moment} as created_when",
+                *[f"{typed.get(name, 'cast(null as string)')} as {name}" for name in details],
             )
 
-        last = (i == o % 5) & (i != 0)
-        step = i - F.when(last & (o % 101 == 0), F.lit(1)).otherwise(F.lit(0))
-        state_step = i - F.when(last & (o % 202 == 0), F.lit(1)).otherwise(F.lit(0))
+        orders = star("orders").selectExpr("o_orderkey as o", "o_orderdate as day0")
+        last = "i = o % 5 and i <> 0"
         states = wide(
-            star("orders").select("o_orderkey", "o_orderdate", F.explode(F.sequence(zero, o % 5)).alias("i")),
+            orders.selectExpr("o", "day0", "explode(sequence(0L, o % 5)) as i"),
             "ORDER_STATE",
-            o * 10 + i,
-            o,
-            _days_after(F.col("o_orderdate"), step * 17),
-            order_state=_pick(list(ORDER_STATES), (o * 3 + state_step * 5) % 17),
+            "o * 10 + i",
+            "o",
+            _later("day0", f"((i - if(o % 101 = 0 and {last}, 1, 0)) * 17)"),
+            order_state=_pick(ORDER_STATES, f"(3 * o + 5 * (i - if(o % 202 = 0 and {last}, 1, 0))) % 17"),
         )
         changes = wide(
-            star("orders")
-            .where(o % 4 == 0)
-            .select(
-                "o_orderkey",
-                "o_orderdate",
-                F.explode(F.sequence(zero, F.when(o % 8 == 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint"))).alias("i"),
-            ),
+            orders.where("o % 4 = 0").selectExpr("o", "day0", "explode(sequence(0L, if(o % 8 = 0, 1L, 0L))) as i"),
             "ORDER_PARAM_CHANGE",
-            o * 10 + 7 + i,
-            o,
-            _days_after(F.col("o_orderdate"), (o % 3) * 40 + i * 5 + 20),
-            parameter_name=F.lit("customerPaymentSum"),
-            new_value=F.concat(
-                (o % 9 + 1).cast("string"), F.lit("\u00a0"), _digits(o % 1000, 3), F.lit(","), _digits(o % 100, 2)
-            ),
+            "o * 10 + 7 + i",
+            "o",
+            _later("day0", "(20 + (o % 3) * 40 + 5 * i)"),
+            parameter_name="'customerPaymentSum'",
+            new_value="concat(cast(1 + o % 9 as string), char(160), lpad(cast(o % 1000 as string), 3, '0'),"
+            " ',', lpad(cast(o % 100 as string), 2, '0'))",
         )
+        suppliers = star("supplier").selectExpr("s_suppkey as s")
         supplier_states = wide(
-            star("supplier").select("s_suppkey", F.explode(F.sequence(zero, s % 3)).alias("i")),
+            suppliers.selectExpr("s", "explode(sequence(0L, s % 3)) as i"),
             "SUPPLIER_STATE",
-            F.lit(5_000_000_000) + s * 10 + i,
-            F.lit(SUPPLIER_IDS) + s,
-            _days_after(_moment("1994-01-01"), i * 30 + s % 20),
-            supplier_state=F.when((s + i) % 3 == 0, F.lit("POSTFACTUM")).otherwise(F.lit("OPERATIVE")),
+            f"{SUPPLIER_STATE_IDS} + s * 10 + i",
+            f"{SUPPLIER_IDS} + s",
+            _later("timestamp_ntz'1994-01-01'", "(30 * i + s % 20)"),
+            supplier_state="if((s + i) % 3 = 0, 'POSTFACTUM', 'OPERATIVE')",
         )
         registrations = wide(
-            star("supplier").select("s_suppkey", F.explode(F.sequence(zero, s % 2)).alias("i")),
+            suppliers.selectExpr("s", "explode(sequence(0L, s % 2)) as i"),
             "REGISTRATION",
-            F.lit(6_000_000_000) + s * 10 + i,
-            F.lit(SUPPLIER_IDS) + s,
-            _days_after(_moment("1994-01-01"), i * 10 + s % 10),
-            registry_stage=_pick(list(REGISTRY_STAGES), (s + i) % 6),
-        )
-        return (
-            states.unionByName(changes).unionByName(supplier_states).unionByName(registrations)
+            f"{REGISTRATION_IDS} + s * 10 + i",
+            f"{SUPPLIER_IDS} + s",
+            _later("timestamp_ntz'1994-01-01'", "(10 * i + s % 10)"),
+            registry_stage=_pick(REGISTRY_STAGES, "(s + i) % 6"),
         )
+        return states.unionByName(changes).unionByName(supplier_states).unionByName(registrations)
 
-    def typed(kind: str, entity: str, *columns: Column):
-        return lambda t: t.event_log.where(F.col("event_type") == kind).select(
-            F.col("event_driven_id").alias(entity), F.col("created_when").alias("at"), *columns
+    def typed(kind: str, entity: str, *columns: str):
+        return lambda t: t.event_log.where(F.col("event_type") == kind).selectExpr(
+            f"event_driven_id as {entity}", "created_when as at", *columns
         )
 
     def product_group(_: Tables) -> DataFrame:
         # The type names are a short vocabulary, so one sorted array numbers them without a global window.
         names = star("part").agg(F.array_sort(F.collect_set("p_type")).alias("names"))
-        return names.select(F.posexplode("names").alias("pos", "name")).select(
-            (F.col("pos") + 1).cast("bigint").alias("id"), "name"
-        )
+        return names.selectExpr("posexplode(names) as (pos, name)").selectExpr("cast(pos + 1 as bigint) as id", "name")
 
     def suppliers_product(_: Tables) -> DataFrame:
-        p = F.col("p_partkey")
-        return star("part").select(
-            p.alias("id"),
-            F.when(p % 4 == 0, F.lit(0))
-            .when(p % 4 == 1, F.lit(10))
-            .when(p % 4 == 2, F.lit(20))
-            .otherwise(F.lit(-1))
-            .alias("tax_percent"),
-            p.alias("fk_product_name_id"),
-            p.alias("fk_product_id"),
-            F.lit(1).cast("bigint").alias("fk_unit_id"),
+        return star("part").selectExpr(
+            "p_partkey as id",
+            "element_at(array(0, 10, 20, -1), cast(p_partkey % 4 + 1 as int)) as tax_percent",
+            "p_partkey as fk_product_name_id",
+            "p_partkey as fk_product_id",
+            "1L as fk_unit_id",
         )
 
     def product_name(_: Tables) -> DataFrame:
-        return star("part").select(F.col("p_partkey").alias("id"), F.col("p_partkey").alias("fk_product_id"))
+        return star("part").selectExpr("p_partkey as id", "p_partkey as fk_product_id")
 
     def product(t: Tables) -> DataFrame:
-        groups = t.product_group.select(F.col("id").alias("fk_product_group_id"), "name")
-        return (
-            star("part")
-            .join(groups, F.col("p_type") == F.col("name"))
-            .select(F.col("p_partkey").alias("id"), "fk_product_group_id")
-        )
+        groups = t.product_group.selectExpr("id as fk_product_group_id", "name as p_type")
+        return star("part").join(groups, "p_type").selectExpr("p_partkey as id", "fk_product_group_id")
 
     def supplier_product_groups(_: Tables) -> DataFrame:
-        s = F.col("s_suppkey")
         return (
             star("supplier")
-            .where(s % 11 != 0)
-            .select(
-                (F.lit(SUPPLIER_IDS) + s).alias("fk_supplier_id"),
-                F.explode(F.array_distinct(F.array(s % 6 + 1, (s * 5 + 2) % 6 + 1))).alias("fk_product_group_id"),
+            .where("s_suppkey % 11 <> 0")
+            .selectExpr(
+                f"{SUPPLIER_IDS} + s_suppkey as fk_supplier_id",
+                "explode(array_distinct(array(s_suppkey % 6 + 1, (5 * s_suppkey + 2) % 6 + 1))) as fk_product_group_id",
             )
         )
 
     def hb_unit(_: Tables) -> DataFrame:
-        return spark.range(1, 2).select("id")
+        return spark.range(1, 2)
 
     def directorate(_: Tables) -> DataFrame:
-        c = F.col("c_custkey")
         return (
             star("customer")
-            .where(c % 17 != 0)
-            .select(c.alias("customer_id"), F.concat(F.lit("D"), _digits(c % 16, 2)).alias("directorate"))
+            .where("c_custkey % 17 <> 0")
+            .selectExpr(
+                "c_custkey as customer_id", "concat('D', lpad(cast(c_custkey % 16 as string), 2, '0')) as directorate"
+            )
         )
 
     return Tables(
@@ -330,15 +293,13 @@ def derive(spark: SparkSession, sf_dir: str) -> Tables:
             "user_s": user_s,
             "employee": employee,
             "event_log": event_log,
-            "order_states": typed("ORDER_STATE", "order_id", F.col("order_state").alias("state")),
-            "order_activity": lambda t: t.event_log.select(
-                F.col("event_driven_id").alias("order_id"),
-                F.col("created_when").alias("at"),
-                F.col("order_state").alias("state"),
+            "order_states": typed("ORDER_STATE", "order_id", "order_state as state"),
+            "order_activity": lambda t: t.event_log.selectExpr(
+                "event_driven_id as order_id", "created_when as at", "order_state as state"
             ),
-            "supplier_states": typed("SUPPLIER_STATE", "supplier_id", F.col("supplier_state").alias("state")),
-            "registrations": typed("REGISTRATION", "supplier_id", F.col("registry_stage").alias("stage")),
-            "param_changes": typed("ORDER_PARAM_CHANGE", "order_id", F.col("parameter_name"), F.col("new_value")),
+            "supplier_states": typed("SUPPLIER_STATE", "supplier_id", "supplier_state as state"),
+            "registrations": typed("REGISTRATION", "supplier_id", "registry_stage as stage"),
+            "param_changes": typed("ORDER_PARAM_CHANGE", "order_id", "parameter_name", "new_value"),
             "suppliers_product": suppliers_product,
             "product_name": product_name,
             "product": product,
