@@ -24,16 +24,14 @@ PERSON = ["surname", "first_name", "mail"]
 
 
 def purchases(t: Tables, period: Period | None = None) -> DataFrame:
-    rows = t.order_s
+    if t.holds("shared_purchases"):
+        rows = t.shared_purchases
+    else:
+        rows = t.order_s.withColumnsRenamed({"id": "order_id", "fk_contract_id": "contract_id"})
     if period is not None:
         rows = rows.where(period.covers(F.col("created_when")))
     return rows.select(
-        F.col("id").alias("order_id"),
-        "order_number",
-        "created_when",
-        "created_by",
-        F.col("fk_contract_id").alias("contract_id"),
-        "customer_payment_sum",
+        "order_id", "order_number", "created_when", "created_by", "contract_id", "customer_payment_sum"
     )
 
 
@@ -48,6 +46,8 @@ def items(t: Tables, period: Period | None = None) -> DataFrame:
 
 def order_amounts(t: Tables, period: Period | None = None, count_items: bool = False) -> DataFrame:
     """order_id, amount, lines and, on request, the number of distinct item ids."""
+    if t.holds("shared_amounts"):
+        return _within(t.shared_amounts, t, period)
     lines = items(t, period)
     if not count_items:
         return lines.groupBy("order_id").agg(
@@ -63,6 +63,8 @@ def order_amounts(t: Tables, period: Period | None = None, count_items: bool = F
 
 def latest_states(t: Tables, period: Period | None = None) -> DataFrame:
     """order_id, state_at, state: all rows at the newest state change."""
+    if t.holds("shared_states"):
+        return _within(t.shared_states, t, period).select("order_id", "state_at", "state")
     return latest(_within(t.order_states, t, period), "order_id").select(
         "order_id", F.col("at").alias("state_at"), "state"
     )
@@ -70,8 +72,10 @@ def latest_states(t: Tables, period: Period | None = None) -> DataFrame:
 
 def latest_states_flagged(t: Tables, period: Period | None = None) -> DataFrame:
     """Latest states with ``is_newest``: no event of another type came later."""
+    if t.holds("shared_states"):
+        return _within(t.shared_states, t, period)
     return latest_typed(_within(t.order_activity, t, period), "order_id").select(
-        "order_id", "state", "is_newest"
+        "order_id", F.col("at").alias("state_at"), "state", "is_newest"
     )
 
 
@@ -156,6 +160,8 @@ def grouped(rows: DataFrame, keys: Sequence[str], **measures: Column) -> DataFra
 
 def product_categories(t: Tables) -> DataFrame:
     """Catalogue entry with VAT rate and category reached through its product name."""
+    if t.holds("shared_categories"):
+        return t.shared_categories
     names = t.product_name.select(F.col("id").alias("name_id"), F.col("fk_product_id").alias("product_id"))
     return (
         t.suppliers_product.select(

@@ -16,7 +16,7 @@ from tenderline.operators.groups import concat_sorted, cycle_seconds, members_of
 from tenderline.operators.joins import null_safe_join, semi
 from tenderline.operators.latest import latest_typed
 from tenderline.operators.pairs import first_pair_off_gap, pair_totals
-from tenderline.operators.shares import share
+from tenderline.operators.shares import read_whole, share
 from tenderline.operators.weekly import weekly_matrix
 from tenderline.plans.frames import (
     contracts,
@@ -89,7 +89,7 @@ def either_key(t: Tables) -> DataFrame:
 
 
 def null_safe(t: Tables) -> DataFrame:
-    rows = category_purchases(t, Buyers()).groupBy("category", "supplier_id").agg(F.sum("amount").alias("amount"))
+    rows = read_whole(category_purchases(t, Buyers(), ["category", "supplier_id"]).select("category", "supplier_id", "amount"))
     sizes = rows.groupBy("category").agg(F.count(F.lit(1)).alias("category_suppliers"))
     return null_safe_join(rows, sizes, [], ["category"])
 

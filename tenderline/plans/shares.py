@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -24,8 +25,11 @@ from tenderline.plans.frames import (
 from tenderline.sources.tables import Tables
 
 
-def category_purchases(t: Tables, buyers: Buyers) -> DataFrame:
-    """Purchases and amount per (customer, category, supplier), cancelled ones and empty lines left out.
+PAIR = ("customer_id", "category", "supplier_id")
+
+
+def category_purchases(t: Tables, buyers: Buyers, keys: Sequence[str] = PAIR) -> DataFrame:
+    """Purchases and amount per key and category, cancelled purchases and empty lines left out.
 
     A purchase counts its amount once per tied latest state.
     """
@@ -50,7 +54,7 @@ def category_purchases(t: Tables, buyers: Buyers) -> DataFrame:
         per_category.join(live, "order_id")
         .join(purchases(t).select("order_id", "contract_id"), "order_id")
         .join(sides, "contract_id")
-        .groupBy("customer_id", "category", "supplier_id")
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("orders"), F.sum(F.col("amount") * F.col("ties")).alias("amount"))
     )
 
@@ -98,11 +102,7 @@ def _share_report(rows: DataFrame, t: Tables, keys: list[str], extra: list[str])
 
 def supplier_share_network(t: Tables, buyers: Buyers = Buyers()) -> DataFrame:
     """Each supplier's part of the network's spending, per category and in all."""
-    per_supplier = (
-        category_purchases(t, buyers)
-        .groupBy("category", "supplier_id")
-        .agg(F.sum("orders").alias("orders"), F.sum("amount").alias("amount"))
-    )
+    per_supplier = category_purchases(t, buyers, ["category", "supplier_id"])
     shares = share(per_supplier, "amount", {"category": ["category"], "network": []}, null_safe=["category"])
     return _share_report(shares, t, [], [])
 

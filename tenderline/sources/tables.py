@@ -66,6 +66,9 @@ class Tables:
             self._made[name] = self._makers[name](self)
         return self._made[name]
 
+    def holds(self, name: str) -> bool:
+        return name in self._makers
+
     def replace(self, **frames: DataFrame) -> Tables:
         """The same tables with some frames swapped, e.g. for one written earlier."""
         makers = dict(self._makers)
