@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tenderline.functions.buyers import Buyers
 from tenderline.plans import totals
+from tenderline.plans.frames import WHOLE
 from tenderline.plans.catalog import BY_CUSTOMER, QUERIES, REPORTS, SAMPLE
 from tenderline.session import local_session
 from tenderline.sources import derive
@@ -51,7 +52,7 @@ def shapes(tables) -> dict[str, float]:
         bucket = {name: totals.DASHBOARD_BUCKETS[name]}
         return totals.per_pair(
             tables,
-            totals.order_facts(tables, bucket, None, need_items=True),
+            totals.order_facts(tables, bucket, WHOLE, need_items=True),
             bucket,
             Buyers(excluded=SAMPLE.excluded),
         )
@@ -62,7 +63,7 @@ def shapes(tables) -> dict[str, float]:
     found["r12_one_pass"] = timed(
         lambda: totals.per_pair(
             tables,
-            totals.order_facts(tables, totals.DASHBOARD_BUCKETS, None, need_items=True),
+            totals.order_facts(tables, totals.DASHBOARD_BUCKETS, WHOLE, need_items=True),
             totals.DASHBOARD_BUCKETS,
             Buyers(excluded=SAMPLE.excluded),
         )

@@ -9,6 +9,7 @@ Join strategies are left to the optimizer, which only broadcasts a side of known
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,32 +24,49 @@ from tenderline.sources.tables import Tables
 PERSON = ["surname", "first_name", "mail"]
 
 
-def purchases(t: Tables, period: Period | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Scope:
+    """The purchases a report looks at: a period, listed customers, both, or all."""
+
+    period: Period | None = None
+    customers: tuple[int, ...] | None = None
+
+    @property
+    def is_whole(self) -> bool:
+        return self.period is None and self.customers is None
+
+
+WHOLE = Scope()
+
+
+def purchases(t: Tables, scope: Scope = WHOLE) -> DataFrame:
     if t.holds("shared_purchases"):
         rows = t.shared_purchases
     else:
         rows = t.order_s.withColumnsRenamed({"id": "order_id", "fk_contract_id": "contract_id"})
-    if period is not None:
-        rows = rows.where(period.covers(F.col("created_when")))
+    if scope.period is not None:
+        rows = rows.where(scope.period.covers(F.col("created_when")))
+    if scope.customers is not None:
+        rows = semi(rows, contracts(t, Buyers(only=scope.customers)), "contract_id")
     return rows.select(
         "order_id", "order_number", "created_when", "created_by", "contract_id", "customer_payment_sum"
     )
 
 
-def _within(df: DataFrame, t: Tables, period: Period | None) -> DataFrame:
-    """Only rows of purchases from the period, dropped before they are shuffled for anything else."""
-    return df if period is None else semi(df, purchases(t, period), "order_id")
+def within(df: DataFrame, t: Tables, scope: Scope) -> DataFrame:
+    """Only rows of purchases in scope, dropped before they are shuffled for anything else."""
+    return df if scope.is_whole else semi(df, purchases(t, scope), "order_id")
 
 
-def items(t: Tables, period: Period | None = None) -> DataFrame:
-    return _within(t.order_item.withColumnRenamed("fk_order_id", "order_id"), t, period)
+def items(t: Tables, scope: Scope = WHOLE) -> DataFrame:
+    return within(t.order_item.withColumnRenamed("fk_order_id", "order_id"), t, scope)
 
 
-def order_amounts(t: Tables, period: Period | None = None, count_items: bool = False) -> DataFrame:
+def order_amounts(t: Tables, scope: Scope = WHOLE, count_items: bool = False) -> DataFrame:
     """order_id, amount, lines and, on request, the number of distinct item ids."""
     if t.holds("shared_amounts"):
-        return _within(t.shared_amounts, t, period)
-    lines = items(t, period)
+        return within(t.shared_amounts, t, scope)
+    lines = items(t, scope)
     if not count_items:
         return lines.groupBy("order_id").agg(
             F.sum(line_amount()).alias("amount"), F.count(F.lit(1)).alias("lines")
@@ -61,20 +79,20 @@ def order_amounts(t: Tables, period: Period | None = None, count_items: bool = F
     )
 
 
-def latest_states(t: Tables, period: Period | None = None) -> DataFrame:
+def latest_states(t: Tables, scope: Scope = WHOLE) -> DataFrame:
     """order_id, state_at, state: all rows at the newest state change."""
     if t.holds("shared_states"):
-        return _within(t.shared_states, t, period).select("order_id", "state_at", "state")
-    return latest(_within(t.order_states, t, period), "order_id").select(
+        return within(t.shared_states, t, scope).select("order_id", "state_at", "state")
+    return latest(within(t.order_states, t, scope), "order_id").select(
         "order_id", F.col("at").alias("state_at"), "state"
     )
 
 
-def latest_states_flagged(t: Tables, period: Period | None = None) -> DataFrame:
+def latest_states_flagged(t: Tables, scope: Scope = WHOLE) -> DataFrame:
     """Latest states with ``is_newest``: no event of another type came later."""
     if t.holds("shared_states"):
-        return _within(t.shared_states, t, period)
-    return latest_typed(_within(t.order_activity, t, period), "order_id").select(
+        return within(t.shared_states, t, scope)
+    return latest_typed(within(t.order_activity, t, scope), "order_id").select(
         "order_id", F.col("at").alias("state_at"), "state", "is_newest"
     )
 
@@ -143,10 +161,11 @@ def order_rows(
     ``terms`` filters contracts, ``suppliers`` replaces the supplier side, ``people`` is the
     join type towards the creator (None: no creator).
     """
-    rows = purchases(t, period)
+    scope = Scope(period, buyers.only)
+    rows = purchases(t, scope)
     if amounts:
-        rows = rows.join(order_amounts(t, period, count_items), "order_id")
-    rows = rows.join(latest_states(t, period) if states is None else states, "order_id")
+        rows = rows.join(order_amounts(t, scope, count_items), "order_id")
+    rows = rows.join(latest_states(t, scope) if states is None else states, "order_id")
     sides = parties(t, buyers, suppliers)
     rows = rows.join(sides if terms is None else sides.where(terms), "contract_id")
     if people is not None:

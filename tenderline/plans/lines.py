@@ -13,6 +13,7 @@ from tenderline.functions.labels import ORDER_STATES, label, tax_label
 from tenderline.functions.numbers import line_amount
 from tenderline.plans.frames import (
     PERSON,
+    Scope,
     grouped,
     items,
     order_rows,
@@ -27,8 +28,8 @@ LINE = [
 ]
 
 
-def _lines(t: Tables, period: Period) -> DataFrame:
-    return items(t, period).select(
+def _lines(t: Tables, scope: Scope) -> DataFrame:
+    return items(t, scope).select(
         "order_id", "price", "quantity", "product_name", F.col("fk_supplier_product_id").alias("entry_id")
     )
 
@@ -54,7 +55,7 @@ def zero_vat_lines(t: Tables, as_of: date, buyers: Buyers = Buyers()) -> DataFra
     """Last month's lines with a VAT rate of zero."""
     period = Period.previous_month(as_of)
     untaxed = product_categories(t).where(F.col("tax_percent") == 0)
-    lines = _lines(t, period).join(untaxed, "entry_id")
+    lines = _lines(t, Scope(period, buyers.only)).join(untaxed, "entry_id")
     rows = order_rows(t, buyers, period, amounts=False).join(lines, "order_id")
     return _report(rows, buyers.keys, F.col("order_number"), with_contract_id=False)
 
@@ -63,6 +64,6 @@ def lines_by_directorate(t: Tables, as_of: date) -> DataFrame:
     """Last month's lines of every mapped customer, one directorate value per output part."""
     period = Period.previous_month(as_of)
     mapped = t.directorate.select("customer_id", "directorate").distinct()
-    lines = _lines(t, period).join(product_categories_direct(t), "entry_id", "left")
+    lines = _lines(t, Scope(period)).join(product_categories_direct(t), "entry_id", "left")
     rows = order_rows(t, Buyers(), period, amounts=False).join(mapped, "customer_id").join(lines, "order_id")
     return _report(rows, ["directorate"], F.col("order_number").cast("bigint"), with_contract_id=True)

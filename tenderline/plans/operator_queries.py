@@ -19,6 +19,7 @@ from tenderline.operators.pairs import first_pair_off_gap, pair_totals
 from tenderline.operators.shares import read_whole, share
 from tenderline.operators.weekly import weekly_matrix
 from tenderline.plans.frames import (
+    WHOLE,
     contracts,
     latest_states,
     order_amounts,
@@ -63,7 +64,7 @@ def weekly(t: Tables, as_of: date) -> DataFrame:
 
 
 def status_buckets(t: Tables) -> DataFrame:
-    facts = _with_customer(t, order_facts(t, DASHBOARD_BUCKETS, None, need_items=True))
+    facts = _with_customer(t, order_facts(t, DASHBOARD_BUCKETS, WHOLE, need_items=True))
     return bucket_counts(facts, ["customer_id"], list(DASHBOARD_BUCKETS))
 
 

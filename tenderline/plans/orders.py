@@ -16,11 +16,14 @@ from tenderline.operators.joins import semi
 from tenderline.operators.pairs import first_pair_off_gap
 from tenderline.plans.frames import (
     PERSON,
+    WHOLE,
+    Scope,
     grouped,
     latest_states,
     order_rows,
     purchases,
     supplier_agents,
+    within,
 )
 from tenderline.sources.tables import Tables
 
@@ -49,10 +52,11 @@ def full_prepay_orders(t: Tables, as_of: date, buyers: Buyers = Buyers()) -> Dat
     return picked.withColumn("state", state_text())
 
 
-def payment_changes(t: Tables) -> DataFrame:
+def payment_changes(t: Tables, scope: Scope = WHOLE) -> DataFrame:
     """Per purchase: sum of the entered payments and the time of the last entry."""
     return (
-        t.param_changes.where(F.col("parameter_name") == "customerPaymentSum")
+        within(t.param_changes, t, scope)
+        .where(F.col("parameter_name") == "customerPaymentSum")
         .groupBy("order_id")
         .agg(
             F.sum(parse_localised(F.col("new_value"))).alias("paid_sum"),
@@ -65,7 +69,7 @@ def partial_prepay_orders(t: Tables, as_of: date, buyers: Buyers = Buyers()) ->
     """Last month's purchases under partial prepayment, with what was paid so far."""
     period = Period.previous_month(as_of)
     terms = (F.col("payment_type") == "PARTIAL") & F.col("pre_payment_percent").isNotNull()
-    paid = payment_changes(t.replace(param_changes=semi(t.param_changes, purchases(t, period), "order_id")))
+    paid = payment_changes(t, Scope(period, buyers.only))
     rows = order_rows(t, buyers, period, terms=terms, people=None, count_items=True).join(paid, "order_id", "left")
     keys = [
         "order_number", "created_when", "customer_name", "customer_inn", "supplier_name", "supplier_inn",
@@ -90,11 +94,9 @@ def partial_prepay_orders(t: Tables, as_of: date, buyers: Buyers = Buyers()) ->
 PAYMENT_REQUESTED = ["PAYMENT", "PAYMENT_POSTFACTUM", "PARTIAL_POST_PAYMENT"]
 
 
-def payment_events(t: Tables, period: Period | None = None) -> tuple[DataFrame, DataFrame]:
+def payment_events(t: Tables, scope: Scope = WHOLE) -> tuple[DataFrame, DataFrame]:
     """Events that ask for payment and events that record received money."""
-    states = t.order_states
-    if period is not None:
-        states = semi(states, purchases(t, period), "order_id")
+    states = within(t.order_states, t, scope)
     asked = states.where(F.col("state").isin(PAYMENT_REQUESTED))
     received = states.where(F.col("state").like("%PAYMENT_RECEIVED%"))
     return asked, received
@@ -105,8 +107,9 @@ def payment_vs_delay(t: Tables, period: Period, buyers: Buyers = Buyers()) -> Da
 
     Of the differing pairs a purchase has, the earliest is shown.
     """
-    asked, received = payment_events(t, period)
-    agreed = purchases(t, period).join(
+    scope = Scope(period, buyers.only)
+    asked, received = payment_events(t, scope)
+    agreed = purchases(t, scope).join(
         t.contract.select(F.col("id").alias("contract_id"), "pay_delay_days"), "contract_id"
     ).where(F.col("pay_delay_days").isNotNull()).select("order_id", "pay_delay_days")
     off = first_pair_off_gap(asked, received, agreed, "order_id", "pay_delay_days").drop("pay_delay_days")
@@ -126,7 +129,7 @@ def payment_vs_delay(t: Tables, period: Period, buyers: Buyers = Buyers()) -> Da
 
 def stale_orders(t: Tables, as_of: date, buyers: Buyers = Buyers(), min_days: int = 90) -> DataFrame:
     """Purchases neither closed nor cancelled whose latest state is at least ``min_days`` old."""
-    states = latest_states(t).where(
+    states = latest_states(t, Scope(customers=buyers.only)).where(
         ~F.col("state").isin("ORDER_CLOSED", "ORDER_CANCELED")
         & (age_in_days(F.col("state_at"), as_of) >= min_days)
     )
@@ -143,7 +146,7 @@ def stale_orders(t: Tables, as_of: date, buyers: Buyers = Buyers(), min_days: in
 def unclosed_orders(t: Tables, buyers: Buyers = Buyers()) -> DataFrame:
     """Purchases whose latest state is not cancelled, closed or closed post factum."""
     finished = ["ORDER_CANCELED", "ORDER_CLOSED", "ORDER_CLOSED_POSTFACTUM"]
-    states = latest_states(t).where(~F.col("state").isin(finished))
+    states = latest_states(t, Scope(customers=buyers.only)).where(~F.col("state").isin(finished))
     rows = order_rows(t, buyers, states=states, people="left")
     keys = [*buyers.keys, *PURCHASE, "contract_number", "state", "state_at"]
     return (

@@ -14,6 +14,7 @@ from tenderline.functions.numbers import line_amount, mean, percent
 from tenderline.operators.joins import null_safe_join
 from tenderline.operators.shares import read_whole, share
 from tenderline.plans.frames import (
+    Scope,
     contracts,
     customer_names,
     items,
@@ -33,14 +34,15 @@ def category_purchases(t: Tables, buyers: Buyers, keys: Sequence[str] = PAIR) ->
 
     A purchase counts its amount once per tied latest state.
     """
+    scope = Scope(customers=buyers.only)
     live = (
-        latest_states(t)
+        latest_states(t, scope)
         .where(F.col("state") != "ORDER_CANCELED")
         .groupBy("order_id")
         .agg(F.count(F.lit(1)).alias("ties"))
     )
     lines = (
-        items(t)
+        items(t, scope)
         .where((F.col("price") != 0) | (F.col("quantity") != 0))
         .select("order_id", "price", "quantity", F.col("fk_supplier_product_id").alias("entry_id"))
     )
@@ -52,7 +54,7 @@ def category_purchases(t: Tables, buyers: Buyers, keys: Sequence[str] = PAIR) ->
     sides = contracts(t, buyers).select("contract_id", "customer_id", "supplier_id")
     return (
         per_category.join(live, "order_id")
-        .join(purchases(t).select("order_id", "contract_id"), "order_id")
+        .join(purchases(t, scope).select("order_id", "contract_id"), "order_id")
         .join(sides, "contract_id")
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("orders"), F.sum(F.col("amount") * F.col("ties")).alias("amount"))
@@ -133,9 +135,9 @@ def supply_cycles(t: Tables, since: date, buyers: Buyers = Buyers()) -> DataFram
     Lines are reduced per (purchase, product, category) first; their sums are then weighted with
     the number of tied latest states of the purchase.
     """
-    period = Period(since)
-    ties = latest_states(t, period).groupBy("order_id").agg(F.count(F.lit(1)).alias("ties"))
-    lines = items(t, period).where((F.col("quantity") != 0) & (F.col("price") != 0)).select(
+    scope = Scope(Period(since), buyers.only)
+    ties = latest_states(t, scope).groupBy("order_id").agg(F.count(F.lit(1)).alias("ties"))
+    lines = items(t, scope).where((F.col("quantity") != 0) & (F.col("price") != 0)).select(
         "order_id", "product_name", "price", "quantity", line_amount().alias("amount"),
         F.col("fk_supplier_product_id").alias("entry_id"),
     )
@@ -155,7 +157,7 @@ def supply_cycles(t: Tables, since: date, buyers: Buyers = Buyers()) -> DataFram
     )
     rows = (
         reduced.join(ties, "order_id")
-        .join(purchases(t, period).select("order_id", "contract_id", "created_when"), "order_id")
+        .join(purchases(t, scope).select("order_id", "contract_id", "created_when"), "order_id")
         .join(named, "contract_id")
     )
     keys = [*buyers.keys, "product_name", "customer_name", "supplier_name", "category"]

@@ -20,6 +20,7 @@ from tenderline.operators.buckets import bucket_hits, bucket_measures
 from tenderline.operators.shares import read_whole
 from tenderline.operators.weekly import weekly_matrix
 from tenderline.plans.frames import (
+    Scope,
     contracts,
     customer_names,
     latest_states_flagged,
@@ -74,14 +75,14 @@ UNCLOSED_BUCKETS = {
 }
 
 
-def order_facts(t: Tables, buckets: Mapping[str, Bucket], period: Period | None, need_items: bool) -> DataFrame:
+def order_facts(t: Tables, buckets: Mapping[str, Bucket], scope: Scope, need_items: bool) -> DataFrame:
     """One row per purchase: amount, lines and bucket hits, all co-partitioned by purchase."""
     tests = {name: bucket.test() for name, bucket in buckets.items()}
-    hits = bucket_hits(latest_states_flagged(t, period), "order_id", tests)
+    hits = bucket_hits(latest_states_flagged(t, scope), "order_id", tests)
     return (
-        purchases(t, period)
+        purchases(t, scope)
         .select("order_id", "contract_id")
-        .join(order_amounts(t, period), "order_id", "inner" if need_items else "left")
+        .join(order_amounts(t, scope), "order_id", "inner" if need_items else "left")
         .join(hits, "order_id", "left")
     )
 
@@ -154,7 +155,7 @@ def customer_totals(
     Customers of one name merge when all their blocks agree. ``distinct=False`` counts closed and
     cancelled purchases per tied event, and sole-trader purchases per line.
     """
-    facts = order_facts(t, FINISHED_BUCKETS, period, need_items=False)
+    facts = order_facts(t, FINISHED_BUCKETS, Scope(period, buyers.only), need_items=False)
     pairs = per_pair(t, facts, FINISHED_BUCKETS, buyers)
     weights = supplier_weights(t)
     names = customer_names(t).select("customer_id", "customer_name")
@@ -194,7 +195,8 @@ def _bucket_totals(
     t: Tables, buckets: Mapping[str, Bucket], buyers: Buyers, period: Period | None
 ) -> DataFrame:
     """Per customer and name: totals and bucket blocks. Same-named entities of a customer add up."""
-    pairs = per_pair(t, order_facts(t, buckets, period, need_items=True), buckets, buyers)
+    facts = order_facts(t, buckets, Scope(period, buyers.only), need_items=True)
+    pairs = per_pair(t, facts, buckets, buyers)
     measures = []
     for name in buckets:
         measures += [
@@ -255,7 +257,8 @@ def weekly_activity(t: Tables, as_of: date, buyers: Buyers = Buyers(), weeks: in
     Every purchase counts once per state event of its supplier, and in the post-factum measures
     once per latest post-factum state of its supplier.
     """
-    facts = purchases(t).join(order_amounts(t), "order_id")
+    scope = Scope(customers=buyers.only)
+    facts = purchases(t, scope).join(order_amounts(t, scope), "order_id")
     sides = contracts(t, buyers).select("contract_id", "customer_id", "supplier_id")
     pairs = weekly_matrix(
         facts.join(sides, "contract_id"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tenderline.plans import orders
 from tenderline.plans.catalog import QUERIES, SAMPLE
-from tenderline.plans.frames import latest_states, order_amounts
+from tenderline.plans.frames import Scope, latest_states, order_amounts
 from tenderline.plans.shares import category_purchases, supplier_share_by_customer
 from tenderline.functions.buyers import Buyers
 from tests.conftest import rows
@@ -54,7 +54,7 @@ def test_no_nested_loops_and_no_forced_broadcasts(conf, small, name):
 
 
 def test_period_reaches_the_scan(small, capsys):
-    df = orders.purchases(small, SAMPLE.payments)
+    df = orders.purchases(small, Scope(SAMPLE.payments))
     df.explain("formatted")
     plan = capsys.readouterr().out
     pushed = re.search(r"PushedFilters: \[(.*)\]", plan).group(1)

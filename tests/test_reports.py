@@ -77,7 +77,7 @@ def test_same_named_customers_merge_only_with_equal_blocks(spark, small):
 
 
 def test_dashboard_buckets_equal_direct_filters(small):
-    period_orders = orders.purchases(small, SAMPLE.payments)
+    period_orders = orders.purchases(small, orders.Scope(SAMPLE.payments))
     got = totals.status_dashboard(small, date(2001, 7, 15)).agg(F.sum("new_orders"), F.sum("execution_orders")).first()
     june = orders.latest_states(small).join(
         orders.purchases(small).where("created_when >= '2001-06-01' and created_when < '2001-07-01'"), "order_id"
