@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderline.functions.numbers import percent
@@ -22,6 +22,11 @@ def read_whole(df: DataFrame) -> DataFrame:
     return df.where(F.rand() + F.lit(2) > F.signum(F.xxhash64(*df.columns)))
 
 
+def with_grand_total(totals: DataFrame, total: str, name: str) -> DataFrame:
+    """Add the sum of all totals as ``name``. Only for totals with one row per vocabulary entry."""
+    return totals.withColumn(name, F.sum(total).over(Window.partitionBy()))
+
+
 def share(
     df: DataFrame,
     value: str,
@@ -39,11 +44,15 @@ def share(
     for name, keys in within.items():
         total = f"{name}_total"
         if keys:
-            totals = whole.groupBy(*keys).agg(F.sum(value).alias(total))
-            shared = null_safe_join(
-                shared, totals, [k for k in keys if k not in null_safe], [k for k in keys if k in null_safe]
-            )
+            shared = join_totals(shared, whole.groupBy(*keys).agg(F.sum(value).alias(total)), keys, null_safe)
         else:
             shared = shared.withColumn(total, whole.agg(F.sum(value)).scalar())
-        shared = shared.withColumn(f"{name}_pct", percent(F.col(value), F.col(total)))
-    return shared
+    return with_percents(shared, value, within)
+
+
+def join_totals(df: DataFrame, totals: DataFrame, keys: Sequence[str], null_safe: Sequence[str]) -> DataFrame:
+    return null_safe_join(df, totals, [k for k in keys if k not in null_safe], [k for k in keys if k in null_safe])
+
+
+def with_percents(df: DataFrame, value: str, names: Iterable[str]) -> DataFrame:
+    return df.withColumns({f"{name}_pct": percent(F.col(value), F.col(f"{name}_total")) for name in names})

@@ -20,7 +20,7 @@ from tenderline.plans.frames import (
     purchases,
 )
 from tenderline.session import scratch_folder
-from tenderline.sources.sinks import write_by, write_report
+from tenderline.sources.sinks import with_name, write_by, write_report
 from tenderline.sources.tables import Tables
 
 
@@ -60,7 +60,7 @@ def write_pack(
     for name in names or [*REPORTS, *BY_CUSTOMER]:
         df, path = QUERIES[name](t, params), f"{out}/{name}"
         if name in BY_CUSTOMER:
-            write_by(df, "customer_id", path, fmt)
+            write_by(with_name(df, t.agent), "customer_id", path, fmt)
         elif name == "r08_lines_by_directorate":
             write_by(df, "directorate", path, fmt)
         else:

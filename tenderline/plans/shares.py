@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from tenderline.functions.buyers import Buyers
 from tenderline.functions.dates import Period, seconds_between
-from tenderline.functions.numbers import line_amount, mean, percent
-from tenderline.operators.joins import null_safe_join
-from tenderline.operators.shares import read_whole, share
+from tenderline.functions.numbers import line_amount, mean
+from tenderline.operators.shares import join_totals, read_whole, share, with_grand_total, with_percents
 from tenderline.plans.frames import (
     Scope,
     contracts,
@@ -86,9 +85,9 @@ def supplier_share_by_customer(t: Tables, buyers: Buyers = Buyers()) -> DataFram
     )
 
 
-def _share_report(rows: DataFrame, t: Tables, keys: list[str], extra: list[str]) -> DataFrame:
+def _share_report(rows: DataFrame, t: Tables, keys: list[str]) -> DataFrame:
     named = rows.join(supplier_agents(t), "supplier_id").select(
-        *keys, *extra, "category", "supplier_name", "supplier_inn", "supplier_kpp", "orders", "amount",
+        *keys, "category", "supplier_name", "supplier_inn", "supplier_kpp", "orders", "amount",
         "category_total", "category_pct", "network_pct",
     ).distinct()
     return named.orderBy(
@@ -96,7 +95,7 @@ def _share_report(rows: DataFrame, t: Tables, keys: list[str], extra: list[str])
         F.desc_nulls_first("category_pct"),
         F.asc_nulls_last("supplier_name"),
     ).select(
-        *keys, *extra, "category", "supplier_name", "supplier_inn", "supplier_kpp", "orders", "amount",
+        *keys, "category", "supplier_name", "supplier_inn", "supplier_kpp", "orders", "amount",
         F.col("category_pct").alias("pct_of_category"),
         F.col("network_pct").alias("pct_of_total"),
     )
@@ -104,9 +103,15 @@ def _share_report(rows: DataFrame, t: Tables, keys: list[str], extra: list[str])
 
 def supplier_share_network(t: Tables, buyers: Buyers = Buyers()) -> DataFrame:
     """Each supplier's part of the network's spending, per category and in all."""
-    per_supplier = category_purchases(t, buyers, ["category", "supplier_id"])
-    shares = share(per_supplier, "amount", {"category": ["category"], "network": []}, null_safe=["category"])
-    return _share_report(shares, t, [], [])
+    per_supplier = read_whole(category_purchases(t, buyers, ["category", "supplier_id"]))
+    return _share_report(_with_network_totals(per_supplier, per_supplier), t, [])
+
+
+def _with_network_totals(rows: DataFrame, network: DataFrame) -> DataFrame:
+    """Shares of the category and of everything; the totals have one row per category."""
+    categories = network.groupBy("category").agg(F.sum("amount").alias("category_total"))
+    totals = with_grand_total(categories, "category_total", "network_total")
+    return with_percents(join_totals(rows, totals, ["category"], ["category"]), "amount", ["category", "network"])
 
 
 def supplier_share_of_network_by_customer(
@@ -115,18 +120,8 @@ def supplier_share_of_network_by_customer(
     """One customer's spending against network-wide totals; only the totals leave customers out."""
     per_customer = read_whole(category_purchases(t, Buyers(split=True)))
     network = Buyers(excluded=excluded).keep(per_customer)
-    categories = network.groupBy("category").agg(F.sum("amount").alias("category_total"))
     own = Buyers(only=only).keep(per_customer)
-    shares = null_safe_join(own, categories, [], ["category"]).withColumn(
-        "network_total", network.agg(F.sum("amount")).scalar()
-    )
-    rows = shares.withColumns(
-        {
-            "category_pct": percent(F.col("amount"), F.col("category_total")),
-            "network_pct": percent(F.col("amount"), F.col("network_total")),
-        }
-    )
-    return _share_report(rows, t, ["customer_id"], [])
+    return _share_report(_with_network_totals(own, network), t, ["customer_id"])
 
 
 def supply_cycles(t: Tables, since: date, buyers: Buyers = Buyers()) -> DataFrame:
