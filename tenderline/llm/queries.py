@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from tenderline.llm.chat import OP1_SQL, op1_chat_format
 from tenderline.llm.exact import OP9_SQL, op9_exact_dedup
+from tenderline.llm.lines import OP10_SQL, op10_line_dedup
+from tenderline.llm.urls import op7_url_filter
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
+    "op7_url_filter": op7_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 SQL = {
+    "op1_chat_format": OP1_SQL,
     "op9_exact_dedup": OP9_SQL,
+    "op10_line_dedup": OP10_SQL,
 }
