@@ -1,7 +1,7 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier on its posterior.
 
 1. Voters. Stems (beginnings of words) that speak for the label in a bounded training sample, a short fixed lexicon and
-   a few patterns. Each votes for a text or abstains. All stems together are one regular expression over the text.
+   a few patterns. Each votes for a text or abstains; one more votes against texts on which all others abstain. All stems together are one regular expression over the text.
 2. Label model. Which label a text has is hidden; voters (and, where given, the label itself, as one more voter) are
    noisy views of it. Expectation-maximisation estimates the prior and each voter's rates under both labels. The
    correlation of two voters' residuals shows how much they repeat each other; each voter's evidence is divided by the
@@ -30,7 +30,7 @@ from tenderline.llm.common import read_table, texts, written
 from tenderline.llm.labelled import held_out, label_sample, training_rows
 
 STEM_LENGTHS = range(3, 9)
-CANDIDATES = 400
+CANDIDATES = 2_000
 VOTERS = 96
 # Bound of the labelled and of the unlabelled sample, in documents.
 MOST = 10_000
@@ -49,7 +49,7 @@ PATTERNS = (r"!{3,}", r"\b\p{L}[*@#$]{2,}\p{L}", r"(?:\b\p{Lu}{4,}\b\W+){4}")
 class Model:
     stems: list[str]
     patterns: list[str]
-    weights: np.ndarray  # of the stems, then the patterns
+    weights: np.ndarray  # of the stems, then the patterns, then the voter for label 0 where no other votes
     intercept: float
 
 
@@ -80,9 +80,10 @@ def evidence(model: Model) -> Column:
     stems = F.array(*[F.struct(F.lit(s).alias("stem"), F.lit(float(w)).alias("weight")) for s, w in zip(model.stems, model.weights)])
     fired = F.filter(stems, lambda v: F.exists("_hits", lambda h: h.startswith(v["stem"])))
     total = F.aggregate(fired, F.lit(model.intercept), lambda n, v: n + v["weight"])
-    for k, weight in enumerate(model.weights[len(model.stems) :]):
+    for k, weight in enumerate(model.weights[len(model.stems) : -1]):
         total = total + F.when(F.array_contains("_marks", k), float(weight)).otherwise(0.0)
-    return total
+    quiet = (F.size("_hits") == 0) & (F.size("_marks") == 0)
+    return total + F.when(quiet, float(model.weights[-1])).otherwise(0.0)
 
 
 def candidate_stems(train: DataFrame) -> list[str]:
@@ -138,7 +139,7 @@ def label_model(votes: np.ndarray, labels: np.ndarray) -> np.ndarray:
     given = ~np.isnan(labels)
     told = np.where(given, labels, 0.0)
     prior = told[given].mean()
-    any_vote = votes.any(1)
+    any_vote = votes[:, :-1].any(1)
     post = np.where(given, 0.1 + 0.8 * told, np.where(any_vote, 0.8, 0.05))
     correlation = np.eye(votes.shape[1])
     for _ in range(ROUNDS):
@@ -179,7 +180,7 @@ def linear(votes: np.ndarray, post: np.ndarray, ridge: float = 1.0) -> tuple[np.
 
 def fit(rows: DataFrame, labels: DataFrame, parts: int, part: int, most: int = MOST) -> Model | float:
     sample = written(label_sample(labels, "toxic", parts, part, most), "label-sample")
-    train = written(training_rows(rows, sample), "labelled-texts")
+    train = written(training_rows(rows, sample).dropDuplicates(["text", "label"]), "labelled-texts")
     seen = train.agg(F.avg("label"), F.min("label"), F.max("label")).first()
     if seen[0] is None or seen[1] == seen[2]:
         return float(seen[0] or 0.0)
@@ -189,7 +190,7 @@ def fit(rows: DataFrame, labels: DataFrame, parts: int, part: int, most: int = M
     lexicon, patterns = list(LEXICON), list(PATTERNS)
     candidates = list(dict.fromkeys([*candidate_stems(train), *lexicon]))
     told = _matrix(train, candidates, [])
-    stems = list(dict.fromkeys([*chosen(candidates, told[0], told[1]), *lexicon]))
+    stems = list(dict.fromkeys([*chosen(candidates, told[0][:, :-1], told[1]), *lexicon]))
     votes, given = _matrix(train.unionByName(untold), stems, patterns)
     post = label_model(votes, given)
     weights, intercept = linear(votes, post)
@@ -200,12 +201,12 @@ def _matrix(rows: DataFrame, stems: list[str], patterns: list[str]) -> tuple[np.
     """Votes and labels of the bounded sample, as numbers on the driver."""
     found = with_hits(rows, stems, patterns).select("label", "_hits", "_marks").toArrow()
     labels = found.column("label").to_numpy(zero_copy_only=False).astype(float)
-    votes = np.zeros((len(labels), len(stems) + len(patterns)))
+    votes = np.zeros((len(labels), len(stems) + len(patterns) + 1))
     number = {s: k for k, s in enumerate(stems)}
     lengths = sorted({len(s) for s in stems})
     for i, (hits, marks) in enumerate(zip(found.column("_hits").to_pylist(), found.column("_marks").to_pylist())):
         on = [number[h[:n]] for h in hits for n in lengths if n <= len(h) and h[:n] in number]
-        votes[i, on + [len(stems) + k for k in marks]] = 1
+        votes[i, on + [len(stems) + k for k in marks] or [-1]] = 1
     return votes, labels
 
 
