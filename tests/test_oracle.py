@@ -25,12 +25,16 @@ def plain(value):
     return value
 
 
+OWN = list(entry_module.QUERIES)
+
+
 def test_every_query_has_a_statement():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
-    assert len(entry_module.queries()) == 32 + 17
+    assert set(OWN) <= set(entry_module.queries())
+    assert set(OWN) <= set(entry_module.oracle_sql())
+    assert len(OWN) == 32 + 17
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_statement(spark, duck, name):
     df = entry_module.queries()[name](spark, SMALL)
     cursor = duck.execute(entry_module.oracle_sql()[name])
