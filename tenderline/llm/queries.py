@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tenderline.llm.bpe import op8_bpe
 from tenderline.llm.chat import OP1_SQL, op1_chat_format
+from tenderline.llm.decontaminate import op2_decontamination
 from tenderline.llm.exact import OP9_SQL, op9_exact_dedup
 from tenderline.llm.jaccard import op5_jaccard_join
 from tenderline.llm.lines import OP10_SQL, op10_line_dedup
@@ -13,6 +14,7 @@ from tenderline.llm.urls import op7_url_filter
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_decontamination": op2_decontamination,
     "op3_quality": op3_quality,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
