@@ -8,6 +8,7 @@ from tenderline.llm.decontaminate import op2_decontamination
 from tenderline.llm.exact import OP9_SQL, op9_exact_dedup
 from tenderline.llm.jaccard import op5_jaccard_join
 from tenderline.llm.lines import OP10_SQL, op10_line_dedup
+from tenderline.llm.passages import op4_substring_dedup
 from tenderline.llm.quality import op3_quality
 from tenderline.llm.toxicity import op6_toxicity
 from tenderline.llm.urls import op7_url_filter
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_decontamination": op2_decontamination,
     "op3_quality": op3_quality,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
