@@ -7,8 +7,8 @@ come from comparing whole blocks and whole pairs, never from a hash.
 
 The names of a level are written to the shared folder, so no level computes an earlier one again.
 
-Hot blocks: rows are first grouped by (block, salt) with as many salts as shuffle partitions, so a block that a third
-of all documents share spreads over all tasks; only one row per (block, salt) goes on to the global name.
+Hot blocks: a block that very many documents share is found from counts by hash and named from per-task minima; its rows
+look the name up and move without the block, spread over all tasks. Every other block moves once.
 
 Defined results: a null text is an empty text, an empty text is one empty block; a null doc_id counts as largest; of
 rows with equal text and equal doc_id one stays; an empty table gives an empty result; other columns are not read.
@@ -29,22 +29,38 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), f"{SPACE_CLASS}+", " ")
 
 
-def _salts(df: DataFrame) -> int:
+def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def named(units: DataFrame, keys: list[str]) -> DataFrame:
-    """``units`` with the integer ``name`` of their ``keys``: the smallest unit id among units with equal keys."""
-    salted = units.withColumn("salt", F.pmod(F.xxhash64("unit"), F.lit(_salts(units))))
-    local = salted.withColumn("local", F.min("unit").over(Window.partitionBy(*keys, "salt")))
-    firsts = local.where(F.col("unit") == F.col("local")).select("local", *keys)
-    whole = firsts.select("local", F.min("local").over(Window.partitionBy(*keys)).alias("name"))
-    return local.drop("salt", *keys).join(whole, "local").drop("local")
+def named(units: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """``units`` with the integer ``name`` of their ``keys``: the smallest unit id among units with equal keys.
+
+    ``rows`` is the number of documents. Keys that more than a quarter of a task's fair share of them have are hot.
+    """
+    n = _partitions(units)
+    groups = units.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count(F.lit(1)).alias("k"))
+    hot = [r["h"] for r in groups.where(F.col("k") > max(rows // (4 * n), 1)).orderBy(F.desc("k"), "h").limit(4 * n).collect()]
+    if hot:
+        # At most 4 n keys of one block each, so the lookup has a fixed bound; counted before the shuffle, by task.
+        known = units.where(F.xxhash64(*keys).isin(hot)).groupBy(*keys).agg(F.min("unit").alias("hot_name"))
+        units = units.join(F.broadcast(written(known, "hot-names")), keys, "left")
+    else:
+        units = units.withColumn("hot_name", F.lit(None).cast("long"))
+    is_hot = F.col("hot_name").isNotNull()
+    cold = units.select(
+        *[c for c in units.columns if c not in keys],
+        *[F.when(~is_hot, F.col(k)).alias(k) for k in keys],
+        F.when(is_hot, F.pmod(F.xxhash64("unit"), F.lit(n))).otherwise(0).alias("salt"),
+    )
+    name = F.coalesce("hot_name", F.min("unit").over(Window.partitionBy(*keys, "salt")))
+    return cold.withColumn("name", name).drop("hot_name", "salt", *keys)
 
 
 def identities(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, row, text_sha256 and the identity (level, name) of every row."""
-    longest = docs.agg(F.max(F.length("text"))).first()[0] or 1
+    longest, rows_in = docs.agg(F.max(F.length("text")), F.count(F.lit(1))).first()
+    longest = longest or 1
     last = max(-(-longest // block_chars) - 1, 0)
     text = normalised(F.col("text"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select(
@@ -58,7 +74,7 @@ def identities(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
         F.size(starts).alias("n"),
         F.posexplode(F.transform(starts, lambda s: F.substr("text", s + 1, F.lit(block_chars)))).alias("at", "block"),
     ).withColumn("unit", F.monotonically_increasing_id())
-    open_ = written(named(units, ["block"]), "names")
+    open_ = written(named(units, ["block"], rows_in), "names")
     done = open_.where("n = 1").select("doc_id", "row", "text_sha256", F.lit(0).alias("level"), "name")
     for level in range(1, last.bit_length() + 1):
         name_at = lambda odd: F.min(F.when(F.col("at") % 2 == odd, F.col("name")))
@@ -67,7 +83,7 @@ def identities(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
             .groupBy("doc_id", "row", "text_sha256", F.ceil(F.col("n") / 2).alias("n"), F.shiftright("at", 1).alias("at"))
             .agg(F.min("unit").alias("unit"), name_at(0).alias("left"), F.coalesce(name_at(1), F.lit(-1)).alias("right"))
         )
-        open_ = written(named(pairs, ["left", "right"]), "names")
+        open_ = written(named(pairs, ["left", "right"], rows_in), "names")
         closed = open_.where("n = 1").select("doc_id", "row", "text_sha256", F.lit(level).alias("level"), "name")
         done = done.unionByName(closed)
     return done
