@@ -41,6 +41,8 @@ from tenderline.llm.components import components
 SKETCH_BITS = 18
 SKETCH_PART = 1 << 10
 SHORT_LIST = 24
+# Pairs of ids that are broadcast at most (16 MB); more are joined by a shuffle.
+SENT_PAIRS = 1_000_000
 
 
 def sets_of(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -136,12 +138,16 @@ def _may_reach(percent: int, n: str, p: str, m: str, q: str) -> Column:
 
 
 def compared(pairs: DataFrame, rows: DataFrame, words: int, percent: int, differences: bool) -> DataFrame:
-    """Of distinct pairs (x, y): those similar to ``percent``, with sizes and intersection, and on request what differs."""
-    ids = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-    sets = rows.join(ids, "doc_id", "left_semi").mapInArrow(lambda b: _sets(b, words), "doc_id long, set array<long>")
-    left = sets.select(F.col("doc_id").alias("x"), F.col("set").alias("sx"))
-    right = sets.select(F.col("doc_id").alias("y"), F.col("set").alias("sy"))
-    both = pairs.join(left, "x").join(right, "y").select(
+    """Of distinct pairs (x, y), a written table: those similar to ``percent``, with sizes and intersection, and on request what differs."""
+    # Up to so many pairs, their ids are small enough to go to all tasks, and texts stay where they are read.
+    sent = F.broadcast if pairs.count() <= SENT_PAIRS else lambda df: df
+
+    def of(side: str) -> DataFrame:
+        ids = pairs.select(F.col(side).alias("doc_id")).distinct()
+        sets = rows.join(sent(ids), "doc_id", "left_semi").mapInArrow(lambda b: _sets(b, words), "doc_id long, set array<long>")
+        return sets.select(F.col("doc_id").alias(side), F.col("set").alias(f"s{side}"))
+
+    both = of("y").join(sent(pairs), "y").join(of("x"), "x").select(
         "x", "y", F.size("sx").alias("nx"), F.size("sy").alias("ny"), F.size(F.array_intersect("sx", "sy")).alias("both"), "sx", "sy"
     )
     near = both.where(100 * F.col("both") >= percent * (F.col("nx") + F.col("ny") - F.col("both")))
@@ -211,6 +217,7 @@ def links(rows: DataFrame, profile: DataFrame, reps: DataFrame, words: int, perc
     found = None
     while True:
         pairs = members.where(_may_reach(near_percent, "n", "p", "m", "q")).select("x", "y").distinct()
+        pairs = written(pairs, "pairs")
         near = written(compared(pairs, rows, words, near_percent, True), "near")
         here = near.where(_linked(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
         here = here.unionByName(derived_links(near, percent))
