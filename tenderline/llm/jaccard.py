@@ -15,9 +15,9 @@ are compared with the hub only:
   the hub. If x and y differ from the hub in no common shingle, they are less similar to each other than to the hub. So
   only sets that share a differing shingle are met, through the rarest differing shingles, and the size of their
   intersection follows from the hub's: |h| - |h-x| - |h-y| + |shared differences|. Texts are not compared again.
-* below t': cannot be linked to what is linked to the hub. These, and the near ones, form the list's rest, which goes
-  through the next round with a hub of its own, or is compared pair by pair when it is short (``SHORT_LIST``, so
-  the pairs are a bounded multiple of the entries).
+* below t': cannot be linked to what is linked to the hub. If at most ``SHORT_LIST`` such free sets are left, each is
+  compared with the list's rest (a bounded multiple of the entries); else the rest goes through another round with a
+  free set as hub.
 
 No link between different sets is lost as far as components go, and no list, however long, is squared.
 
@@ -212,7 +212,8 @@ def links(rows: DataFrame, profile: DataFrame, reps: DataFrame, words: int, perc
     )
     first = Window.partitionBy("w").orderBy("p", "y")
     hub = F.first(F.struct(F.col("y").alias("x"), F.col("n").alias("m"), F.col("p").alias("q"))).over(first)
-    members = entries.withColumn("hub", hub).where("hub.x <> y").select("w", "y", "n", "p", "hub.*")
+    members = entries.withColumn("hub", hub).where("hub.x <> y")
+    members = members.select("w", "y", "n", "p", F.lit(None).cast("long").alias("g"), "hub.*")
     members = written(members, "lists")
     found = None
     while True:
@@ -222,20 +223,29 @@ def links(rows: DataFrame, profile: DataFrame, reps: DataFrame, words: int, perc
         here = near.where(_linked(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
         here = here.unionByName(derived_links(near, percent))
         far = members.join(near.select("x", "y", _linked(percent).alias("done")), ["x", "y"], "left")
-        rest = far.where("done IS NULL OR NOT done").select("w", "y", "n", "p", F.col("done").isNull().alias("far"))
-        sizes = rest.groupBy("w").agg(F.count(F.lit(1)).alias("size"), F.count_if("far").alias("n_far")).where("size > 1 AND n_far > 0")
-        rest = written(rest.join(sizes, "w"), "rest")
-        short = rest.where(F.col("size") <= SHORT_LIST)
-        other = short.select("w", F.col("y").alias("x"), F.col("n").alias("m"), F.col("p").alias("q"), F.col("far").alias("far_x"))
-        meet = short.join(other, "w").where("x < y AND (far OR far_x)").where(_may_reach(percent, "n", "p", "m", "q"))
+        # Sets near one hub are settled among themselves; ``g`` is that hub.
+        settled = F.when(F.col("done").isNotNull(), F.col("x")).otherwise(F.col("g")).alias("g")
+        rest = far.where("done IS NULL OR NOT done").select("w", "y", "n", "p", settled)
+        sizes = rest.groupBy("w").agg(
+            F.count(F.lit(1)).alias("size"), F.count_if(F.col("g").isNull()).alias("free"), F.min("g").alias("g0"), F.max("g").alias("g1")
+        ).where("size > 1 AND (free > 0 OR g0 < g1)")
+        # Few free sets: each against all others, a bounded number of pairs for each entry.
+        few = F.when(F.coalesce(F.col("g0") == F.col("g1"), F.lit(True)), F.col("free")).otherwise(F.col("size")) <= SHORT_LIST
+        mixed_hubs = F.coalesce(F.col("g0") < F.col("g1"), F.lit(False)).alias("mixed_hubs")
+        rest = written(rest.join(sizes.select("w", few.alias("few"), mixed_hubs), "w"), "rest")
+        short = rest.where("few")
+        free = short.where("g IS NULL OR mixed_hubs").select("w", F.col("y").alias("x"), F.col("n").alias("m"), F.col("p").alias("q"), F.col("g").alias("gx"))
+        apart = "x <> y AND (gx IS NULL OR g IS NULL OR gx <> g)"
+        meet = short.join(free, "w").where(apart).where(_may_reach(percent, "n", "p", "m", "q"))
+        meet = meet.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
         pairs = written(meet.select("x", "y").distinct(), "pairs")
         if not pairs.isEmpty():
             here = here.unionByName(compared(pairs, rows, words, percent, False).select(F.col("x").alias("a"), F.col("y").alias("b")))
         here = written(here.distinct(), "links")
         found = here if found is None else found.unionByName(here)
-        again = Window.partitionBy("w").orderBy(F.desc("far"), "p", "y")
+        again = Window.partitionBy("w").orderBy(F.col("g").isNotNull(), "p", "y")
         hub = F.first(F.struct(F.col("y").alias("x"), F.col("n").alias("m"), F.col("p").alias("q"))).over(again)
-        members = rest.where(F.col("size") > SHORT_LIST).withColumn("hub", hub).where("hub.x <> y").select("w", "y", "n", "p", "hub.*")
+        members = rest.where("NOT few").withColumn("hub", hub).where("hub.x <> y").select("w", "y", "n", "p", "g", "hub.*")
         members = written(members, "lists")
         if members.isEmpty():
             return found

@@ -1,0 +1,157 @@
+"""Operators on single texts: tokenizer, chat template, lines, classifiers on edge cases, the pipeline."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from tenderline.llm.bpe import Decoder, Transducer, loaded, token_digests
+from tenderline.llm.chat import format_turns, read_back, unescaped, unescaped_role
+from tenderline.llm.lines import Shard, drop_frequent_lines
+from tenderline.llm.quality import quality_scores
+from tenderline.llm.toxicity import drop_toxic, toxicity_scores
+from tenderline.llm.urls import judged
+from tests.llm.conftest import SMALL
+from tests.llm.test_pairs import EDGES, brute_groups
+
+PIECES = ["th", "er", "ing", "é", "ß", "Σ", "İ", "1", "'s", "!!", "🎉", "é", "\u0085", "\x1c", "<|endoftext|>", "中文", " ", "\n", " "]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_bpe_equals_library(name):
+    path = public_tokenizers.path(name)
+    library, own = Tokenizer.from_file(path), loaded(open(path, encoding="utf-8").read())
+    draw = random.Random(2)
+    cases = ["".join(draw.choice(PIECES) for _ in range(draw.randint(0, 60))) for _ in range(800)]
+    cases += ["a" * 5000, "ha" * 4000, "".join(draw.choice("abt") for _ in range(6000))]
+    for text in cases:
+        want = library.encode(text, add_special_tokens=False).ids
+        ids = np.frombuffer(own.encode(text), "<u4").tolist()
+        assert ids == want
+        machine = Decoder(own)
+        parts = [machine.feed(ids[k : k + 5]) for k in range(0, len(ids), 5)]
+        assert "".join(parts) + machine.finish() == library.decode(want, skip_special_tokens=False)
+
+
+def test_transducer_keeps_little():
+    own = loaded(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
+    draw, run, out, most = random.Random(1), Transducer(own), [], 0
+    data = "".join(draw.choice("abcdeth") for _ in range(50_000)).encode()
+    for k in range(0, len(data), 100):
+        out += run.feed(data[k : k + 100])
+        most = max(most, len(run.held))
+    assert most <= 4 * own.window
+    assert out + run.finish() == np.frombuffer(own.word(data.decode()), "<u4").tolist()
+
+
+def test_token_digests(docs):
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    found = token_digests(docs(EDGES), public_tokenizers.path("word_bpe_49k.json")).collect()
+    assert len(found) == len(EDGES)
+    texts = dict(EDGES)
+    for row in found:
+        ids = library.encode(texts[row["doc_id"]] or "", add_special_tokens=False).ids
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_chat_parts_are_reversible(spark):
+    part = "struct<kind:string,text:string,uri:string,width:int,height:int,seconds:double,pages:int>"
+    p = lambda kind, **k: (kind, k.get("text"), k.get("uri"), k.get("width"), k.get("height"), k.get("seconds"), k.get("pages"))
+    tricky = r"a <| b <\| c <\\|x|> \n"
+    rows = [
+        (1, 1, "assistant", [p("text", text=tricky), p("image", uri="i", width=57, height=28), None, p("odd")]),
+        (1, 0, "us\ner\\n<|", [p("document", uri="d", pages=2), p("audio", uri="a", seconds=1.5), p("text")]),
+        (2, 0, None, None),
+        (None, None, "assistant", []),
+    ]
+    turns = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{part}>")
+    found = {(r["conv_id"], r["nth"]): r for r in format_turns(turns).collect()}
+    first, second = found[1, 1], found[1, 2]
+    whole = first["piece"] + second["piece"]
+    assert whole.count("<|im_start|>") == 2 and second["at"] == len(first["piece"])
+    head = first["piece"].removeprefix("<|im_start|>").split("\n")[0]
+    assert unescaped_role(head) == "us\ner\\n<|"
+    assert unescaped(whole[second["loss_start"] : second["loss_end"]]) == tricky + "<|image|>"
+    assert [(a["kind"], a["uri"], a["tokens"]) for a in first["attachments"]] == [("document", "d", 1024), ("audio", "a", 38)]
+    assert [(a["uri"], a["tokens"]) for a in second["attachments"]] == [("i", 3)]
+    for row in (first, second):
+        for a in row["attachments"]:
+            assert row["piece"][a["at"] :].startswith(f"<|{a['kind']}|>")
+    assert read_back(format_turns(turns)).count() == 3
+    assert read_back(format_turns(turns.limit(0))).count() == 0
+
+
+def test_shard_is_minimal_and_exact():
+    draw = np.random.default_rng(1)
+    keys, prints = draw.integers(0, 2**63, 5000).astype(np.uint64), draw.integers(0, 2**63, 5000).astype(np.uint64)
+    keys[1] = keys[0]
+    shard = Shard.build(keys, prints, np.arange(5000))
+    assert sorted(shard.find(keys, prints)) == list(range(5000))
+    assert (shard.counted(keys, prints) == np.arange(5000)).all()
+    assert (shard.counted(keys + np.uint64(1), prints) == 0).all()
+
+
+def test_frequent_lines(docs):
+    rows = [(k, f" Same\nline {k}\nsame\n\n") for k in range(10)] + [(20, None), (21, ""), (22, "same"), (20, "SAME\t\nx")]
+    found = drop_frequent_lines(docs(rows)).collect()
+    by = sorted((str(r["doc_id"]), r["n_lines"], r["n_dropped"], r["text"]) for r in found)
+    assert by == sorted([(str(k), 5, 2, f"line {k}\n\n") for k in range(10)] + [("20", 1, 0, ""), ("21", 1, 0, ""), ("22", 1, 1, ""), ("20", 2, 1, "x")])
+    assert drop_frequent_lines(docs([])).count() == 0
+
+
+@pytest.mark.parametrize("scores, label", [(quality_scores, "quality"), (toxicity_scores, "toxic")])
+def test_classifiers_without_labels(docs, spark, scores, label):
+    none = spark.createDataFrame([], f"doc_id long, {label} int")
+    same = spark.createDataFrame([(90, 1), (92, 1), (None, 0), (93, None)], f"doc_id long, {label} int")
+    assert scores(docs(EDGES), none).count() == len(EDGES)
+    assert scores(docs([]), none).count() == 0
+    assert all(0 <= r["score"] <= 1 for r in scores(docs(EDGES), same).collect())
+    if label == "toxic":
+        assert drop_toxic(docs(EDGES), none).count() == len(EDGES)
+
+
+def test_urls_without_training(spark):
+    rows = [(1, None), (2, "no scheme"), (3, "http://a.net/x"), (3, "http://a.net/x"), (None, "HTTP://EXAMPLE.ORG")]
+    found = judged(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert [r["verdict"] for r in found] == ["allow"] * 5
+    assert (found[4]["host"], found[4]["path"], found[4]["rule"]) == ("example.org", "", None)
+
+
+def test_pipeline(spark):
+    """Stages against plain versions on the rows each got; the last against the tokenizers library."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    kept = corpus_pipeline.toxicity(spark, docs, SMALL)
+    good = {r["doc_id"] for r in toxicity_scores(docs, spark.read.parquet(f"{SMALL}/labels.parquet")).collect() if not r["predicted"]}
+    assert {r["doc_id"] for r in kept.collect()} == good and kept.columns == docs.columns
+    rows = {r["doc_id"]: r["text"] for r in docs.collect() if r["doc_id"] in good}
+    seen, first = set(), {}
+    for i in sorted(rows):
+        key = re.sub(r"[\x20\x09-\x0D]+", " ", rows[i] or "")
+        if key not in seen:
+            seen.add(key)
+            first[i] = rows[i]
+    groups = brute_groups(list(first.items()), 5, 80)
+    want = {i for i in first if groups[i][1] == i}
+    item_words = [(" ".join((r["text"] or "").lower().split())).split() for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+
+    def leaks(text):
+        w = (text or "").lower().split()
+        for item in item_words:
+            for shift in range(1 - len(item), len(w)):
+                same = [0 <= shift + k < len(w) and w[shift + k] == x for k, x in enumerate(item)]
+                if any(sum(same[k : k + 13]) >= 11 and 0 <= shift + k and shift + k + 13 <= len(w) for k in range(len(item) - 12)):
+                    return True
+        return False
+
+    want = {i for i in want if not leaks(first[i])}
+    found = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SMALL).collect()}
+    assert set(found) == want
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert all(found[i]["n_tokens"] == len(library.encode(rows[i] or "", add_special_tokens=False).ids) for i in want)
