@@ -11,10 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest(events: DataFrame, entity: str, at: str = "at", where=None) -> DataFrame:
-    """All rows that carry the newest ``at`` of their entity, among the rows passing ``where``."""
+def latest(
+    events: DataFrame, entity: str, at: str = "at", where=None, newest: DataFrame | None = None
+) -> DataFrame:
+    """All rows that carry the newest ``at`` of their entity, among the rows passing ``where``.
+
+    ``newest`` (entity, at) gives the newest times where they are not those of ``events``: an event
+    log knows of events whose details are missing, and these hide the older ones.
+    """
     rows = events if where is None else events.where(where)
-    newest = rows.groupBy(entity).agg(F.max(at).alias(at))
+    if newest is None:
+        newest = rows.groupBy(entity).agg(F.max(at).alias(at))
     return rows.join(newest, [entity, at])
 
 
@@ -23,17 +30,19 @@ def latest_typed(
 ) -> DataFrame:
     """Latest typed rows per entity, flagged when nothing of another type came later.
 
-    ``activity`` holds events of every type, ``typed`` is null on those of another type. One
-    aggregate finds both maxima: a typed row at the typed maximum belongs to the overall latest
+    ``activity`` holds events of every type, ``typed`` is null on those of another type, unless
+    ``is_typed`` tells the type and ``has_detail`` whether a typed event has its details: one
+    without them counts for the newest time but is no result. One aggregate finds both maxima: a typed row at the typed maximum belongs to the overall latest
     events exactly when the two maxima are equal.
     """
-    is_typed = F.col(typed).isNotNull()
+    told = "is_typed" in activity.columns
+    is_typed = F.col("is_typed") if told else F.col(typed).isNotNull()
     newest = activity.groupBy(entity).agg(
         F.max(F.when(is_typed, F.col(at))).alias(at), F.max(at).alias("newest_of_any")
     )
     return (
-        activity.where(is_typed)
+        activity.where(is_typed & F.col("has_detail") if told else is_typed)
         .join(newest, [entity, at])
         .withColumn("is_newest", F.col(at) == F.col("newest_of_any"))
-        .drop("newest_of_any")
+        .drop("newest_of_any", "is_typed", "has_detail")
     )

@@ -79,11 +79,20 @@ def order_amounts(t: Tables, scope: Scope = WHOLE, count_items: bool = False) ->
     )
 
 
+def newest_changes(t: Tables, kind: str, entity: str) -> DataFrame | None:
+    """Newest time by entity of one type of event, from the log alone; None where there is no log apart."""
+    if not t.holds("events"):
+        return None
+    log = t.events.where(F.col("event_type") == kind)
+    return log.groupBy(F.col("event_driven_id").alias(entity)).agg(F.max("created_when").alias("at"))
+
+
 def latest_states(t: Tables, scope: Scope = WHOLE) -> DataFrame:
     """order_id, state_at, state: all rows at the newest state change."""
     if t.holds("shared_states"):
         return within(t.shared_states, t, scope).select("order_id", "state_at", "state")
-    return latest(within(t.order_states, t, scope), "order_id").select(
+    newest = newest_changes(t, "ORDER_STATE", "order_id")
+    return latest(within(t.order_states, t, scope), "order_id", newest=newest).select(
         "order_id", F.col("at").alias("state_at"), "state"
     )
 
@@ -98,7 +107,8 @@ def latest_states_flagged(t: Tables, scope: Scope = WHOLE) -> DataFrame:
 
 
 def latest_supplier_states(t: Tables) -> DataFrame:
-    return latest(t.supplier_states, "supplier_id").select("supplier_id", F.col("state").alias("supplier_state"))
+    newest = newest_changes(t, "SUPPLIER_STATE", "supplier_id")
+    return latest(t.supplier_states, "supplier_id", newest=newest).select("supplier_id", F.col("state").alias("supplier_state"))
 
 
 def contracts(t: Tables, buyers: Buyers = Buyers()) -> DataFrame:

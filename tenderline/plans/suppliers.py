@@ -19,6 +19,7 @@ from tenderline.plans.frames import (
     contracts,
     grouped,
     latest_supplier_states,
+    newest_changes,
     order_rows,
     supplier_agents,
 )
@@ -76,7 +77,7 @@ def duplicate_suppliers(t: Tables, excluded_mails: Sequence[str] = ()) -> DataFr
     registered = t.supplier.select(
         F.col("id").alias("supplier_id"), F.col("created_when").alias("registered_at"), "created_by"
     )
-    stages = latest(t.registrations, "supplier_id").select("supplier_id", "stage")
+    stages = latest(t.registrations, "supplier_id", newest=newest_changes(t, "REGISTRATION", "supplier_id")).select("supplier_id", "stage")
     doubles = duplicate_agents(t)
     rows = (
         doubles.join(latest_supplier_states(t), "supplier_id")

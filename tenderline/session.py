@@ -43,10 +43,8 @@ def local_session(cpus: int = 8, app: str = "tenderline") -> SparkSession:
 
 def scratch_folder(spark: SparkSession) -> str:
     """A fresh path under the folder the cluster shares; a local one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         shared = tempfile.mkdtemp(prefix="tenderline-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        spark.sparkContext.setCheckpointDir(shared)
     return os.path.join(shared, uuid.uuid4().hex)

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 
+def _writer(df: DataFrame, fmt: str) -> DataFrameWriter:
+    """CSV comes with a header row in every file."""
+    writer = df.write.mode("overwrite").format(fmt)
+    return writer.option("header", True) if fmt == "csv" else writer
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """One table; CSV comes with a header row."""
-    writer = df.write.mode("overwrite")
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    writer.format(fmt).save(path)
+    """One table."""
+    _writer(df, fmt).save(path)
 
 
 def write_by(df: DataFrame, key: str, path: str, fmt: str = "parquet", rows_per_file: int = 5_000_000) -> None:
@@ -21,11 +24,9 @@ def write_by(df: DataFrame, key: str, path: str, fmt: str = "parquet", rows_per_
     one task, so a dominant customer becomes several files of its folder.
     """
     (
-        df.hint("rebalance", key)
-        .write.mode("overwrite")
+        _writer(df.hint("rebalance", key), fmt)
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(key)
-        .format(fmt)
         .save(path)
     )
 

@@ -99,6 +99,8 @@ def _order_activity(t: Tables) -> DataFrame:
         F.col("event_driven_id").alias("order_id"),
         F.col("created_when").alias("at"),
         F.col("order_state").alias("state"),
+        (F.col("event_type") == "ORDER_STATE").alias("is_typed"),
+        F.col("event_id").isNotNull().alias("has_detail"),
     )
 
 

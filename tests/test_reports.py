@@ -138,6 +138,38 @@ def test_stored_tables_give_the_same_reports(small, stored, name):
     assert rows(QUERIES[name](stored, SAMPLE)) == rows(QUERIES[name](small, SAMPLE))
 
 
+def test_newest_change_without_details_hides_older_ones(spark):
+    from datetime import datetime
+
+    from tenderline.plans.frames import latest_states, latest_states_flagged, latest_supplier_states
+    from tenderline.sources.tables import EVENT_VIEWS, Tables
+
+    at = [datetime(2001, 1, d) for d in range(1, 6)]
+    log = [
+        (1, 10, "ORDER_STATE", at[0]), (2, 10, "ORDER_STATE", at[1]),  # 2 has no details
+        (3, 11, "ORDER_STATE", at[0]), (4, 11, "OTHER", at[2]), (5, 12, "ORDER_STATE", at[1]),  # 5: details, no state
+        (6, 20, "SUPPLIER_STATE", at[0]), (7, 20, "SUPPLIER_STATE", at[3]), (8, 21, "SUPPLIER_STATE", at[0]),
+    ]
+    frames = {
+        "events": spark.createDataFrame(log, "id bigint, event_driven_id bigint, event_type string, created_when timestamp"),
+        "order_state_event": spark.createDataFrame([(1, "NEW"), (3, "NEW"), (5, None)], "event_id bigint, order_state string"),
+        "supplier_state_event": spark.createDataFrame([(6, "NEW"), (8, "NEW")], "event_id bigint, supplier_state string"),
+    }
+    t = Tables(EVENT_VIEWS).replace(**frames)
+    assert [(r[0], r[2]) for r in rows(latest_states(t))] == [(11, "NEW"), (12, None)]
+    assert [(r[0], r[2], r[3]) for r in rows(latest_states_flagged(t))] == [(11, "NEW", False), (12, None, True)]
+    assert rows(latest_supplier_states(t)) == [(21, "NEW")]
+
+
+def test_csv_parts_have_a_header(spark, small, tmp_path):
+    from tenderline.sources.sinks import write_by
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    write_by(df, "k", str(tmp_path / "out"), "csv")
+    back = spark.read.option("header", True).csv(str(tmp_path / "out"))
+    assert rows(back.select("k", "v")) == [(1, "a"), (2, "b")]
+
+
 def test_pack_writes_parts_that_add_up(spark, small, tmp_path):
     names = ["r08_lines_by_directorate", "r16_by_customer", "r04_stale_orders"]
     paths = write_pack(small, replace(SAMPLE, excluded=()), str(tmp_path), names)
