@@ -40,7 +40,7 @@ from tenderline.llm.components import components
 
 SKETCH_BITS = 18
 SKETCH_PART = 1 << 10
-SHORT_LIST = 24
+SHORT_LIST = 128
 # Pairs of ids that are broadcast at most (16 MB); more are joined by a shuffle.
 SENT_PAIRS = 1_000_000
 
