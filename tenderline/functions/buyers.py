@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderline.operators.joins import semi
 
-# Longer id lists are joined instead of being put into the plan as literals.
-INLINE_IDS = 500
-
 
 @dataclass(frozen=True)
 class Buyers:
@@ -33,21 +31,20 @@ class Buyers:
         return ["customer_id"] if self.split else []
 
 
-def _ids(df: DataFrame, column: str, ids: Iterable[int]) -> DataFrame:
-    return df.sparkSession.createDataFrame([(int(i),) for i in sorted(set(ids))], f"{column} bigint")
+def _ids(df: DataFrame, column: str, ids: Iterable[int] | DataFrame) -> DataFrame:
+    """The ids as a frame whose size Spark knows: a list becomes a local relation."""
+    if isinstance(ids, DataFrame):
+        return ids.toDF(column)
+    return df.sparkSession.createDataFrame(pa.table({column: pa.array(sorted({int(i) for i in ids}), pa.int64())}))
 
 
-def drop_ids(df: DataFrame, column: str, ids: Iterable[int]) -> DataFrame:
-    ids = list(ids)
-    if len(ids) <= INLINE_IDS:
-        return df.where(~F.col(column).isin(ids))
+def drop_ids(df: DataFrame, column: str, ids: Iterable[int] | DataFrame) -> DataFrame:
+    """Rows whose id is not among ``ids`` (a list or a frame of one column), whatever their number; a missing id goes."""
     return df.where(F.col(column).isNotNull()).join(_ids(df, column, ids), column, "left_anti")
 
 
-def keep_ids(df: DataFrame, column: str, ids: Iterable[int]) -> DataFrame:
-    ids = list(ids)
-    if len(ids) <= INLINE_IDS:
-        return df.where(F.col(column).isin(ids))
+def keep_ids(df: DataFrame, column: str, ids: Iterable[int] | DataFrame) -> DataFrame:
+    """Rows whose id is among ``ids``."""
     return semi(df, _ids(df, column, ids), column)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderline.functions.numbers import percent
@@ -23,8 +23,8 @@ def read_whole(df: DataFrame) -> DataFrame:
 
 
 def with_grand_total(totals: DataFrame, total: str, name: str) -> DataFrame:
-    """Add the sum of all totals as ``name``. Only for totals with one row per vocabulary entry."""
-    return totals.withColumn(name, F.sum(total).over(Window.partitionBy()))
+    """Add the sum of all totals as ``name``, read as a scalar."""
+    return totals.withColumn(name, totals.agg(F.sum(total)).scalar())
 
 
 def share(

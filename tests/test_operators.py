@@ -205,13 +205,21 @@ def test_labels_keep_unknown_codes(spark):
     assert len(ORDER_STATES) == 17
 
 
-@pytest.mark.parametrize("inline", [500, 0])
-def test_buyers_lists_drop_missing_ids(spark, monkeypatch, inline):
-    monkeypatch.setattr(b, "INLINE_IDS", inline)
+def test_buyers_lists_drop_missing_ids(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "customer_id bigint")
     assert rows(Buyers(excluded=(2,)).keep(df)) == [(1,), (3,)]
     assert rows(Buyers(only=(2, 3), excluded=(3,)).keep(df)) == [(2,)]
     assert len(rows(Buyers().keep(df))) == 4
+    assert rows(b.keep_ids(df, "customer_id", df.where("customer_id > 2"))) == [(3,)]
+
+
+def test_id_lists_have_one_plan_whatever_their_length(spark):
+    df = spark.range(10).withColumnRenamed("id", "customer_id")
+    shapes = []
+    for n in (3, 5000):
+        plan = Buyers(excluded=tuple(range(n))).keep(df)._jdf.queryExecution().optimizedPlan().toString()
+        shapes.append([line.split("[")[0].split("(")[0].strip(" +-:") for line in plan.splitlines()])
+    assert shapes[0] == shapes[1] and any("LeftAnti" in x for x in shapes[0])
 
 
 def test_not_in_drops_missing_values(spark):
