@@ -26,6 +26,8 @@ from tenderline.llm.labelled import SAMPLE_ROWS, held_out, label_sample, trainin
 TREES, DEPTH = 24, 3
 LASSO = 0.002
 SEED = 7
+# Tasks of a step of fitting: the sample is bounded, and there are many short steps.
+FIT_TASKS = 2
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -102,7 +104,7 @@ def fit_rules(train: DataFrame, names: list[str]) -> tuple[list[tuple[Rule, floa
     seen = train.agg(F.avg("label"), F.min("label"), F.max("label")).first()
     if seen[0] is None or seen[1] == seen[2]:
         return 0.5 if seen[0] is None else float(seen[0])
-    ready = written(train.select("label", array_to_vector(F.array(*names)).alias("x"), *names), "statistics")
+    ready = written(train.select("label", array_to_vector(F.array(*names)).alias("x"), *names), "statistics").coalesce(FIT_TASKS)
     forest = RandomForestClassifier(
         labelCol="label", featuresCol="x", numTrees=TREES, maxDepth=DEPTH, maxBins=64, subsamplingRate=0.7,
         featureSubsetStrategy="sqrt", seed=SEED,
@@ -112,7 +114,7 @@ def fit_rules(train: DataFrame, names: list[str]) -> tuple[list[tuple[Rule, floa
         return float(seen[0])
     fires = F.array(*[compiled(r, names).cast("double") for r in rules])
     weights = LogisticRegression(labelCol="label", featuresCol="fires", elasticNetParam=1.0, regParam=LASSO, standardization=False)
-    model = weights.fit(written(ready.select("label", array_to_vector(fires).alias("fires")), "rules"))
+    model = weights.fit(written(ready.select("label", array_to_vector(fires).alias("fires")), "rules").coalesce(FIT_TASKS))
     kept = [(r, float(w)) for r, w in zip(rules, model.coefficients, strict=True) if w]
     return kept, float(model.intercept)
 
