@@ -6,8 +6,10 @@ seen (Dirichlet smoothing), so rare contexts lean on shorter ones. The score is
 divided by the number of characters, less the threshold at which the balanced error on the training urls is least;
 it is found from a histogram of all their scores. Urls without a rule are allowed from 0 on.
 
-Counts come from all decided urls and are summed by Spark. Contexts are hashed into tables of a fixed number of slots
-(SLOTS), so what the driver collects and broadcasts has a fixed bound (about 13 million counts) at any input size.
+Counts come from all decided urls, are summed by Spark and are exact: a character and the ORDER before it make a gram,
+whose bytes fit into one long, so nothing is hashed. The table of grams grows with the urls and stays in Spark. Shorter
+contexts are parts of a gram, so their counts are sums over that table, and all that scoring needs of a character is one
+value by gram. The most frequent grams (at most HEAD) are broadcast; characters with another gram are joined to the table.
 
 Defined results: a null url, or one without ``://``, has empty host and path, and the method judges the text there is;
 a text without characters scores 0 (allow); with no accepted or no rejected urls every other url is allowed; repeated
@@ -20,13 +22,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenderline.llm.common import mixed, pieces, read_table
+from tenderline.llm.common import pieces, read_table, written
 
 ORDER = 5
-SLOTS = 1 << 19
+# Bits of a character in a gram: a byte and one, or zero before the begin of the url.
+CODE_BITS = 9
+# Grams that are broadcast at most, and characters that a counting task holds at once.
+HEAD = 1 << 20
+HELD = 1 << 20
 SMOOTHING = 4.0
 BIN = 0.005
 # The rules of the registered query, (verdict, host, path).
@@ -58,76 +64,118 @@ def decided(pages: DataFrame, rules=RULES) -> DataFrame:
     return found.withColumn("rule", rule).withColumn("ruled", verdict)
 
 
-def _slots(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For every character and order: the slot of its context with it, and the slot of the context alone."""
+def _grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For every character: it in the low bits, those before it above."""
     begin = np.repeat(offsets[:-1], np.diff(offsets))
     at = np.arange(len(data))
-    code = data.astype(np.uint64) + np.uint64(1)
-    context = np.zeros(len(data), np.uint64)
-    pairs, alone = [], []
-    for k in range(ORDER + 1):
-        if k:
-            back = at - k
-            before = np.where(back >= begin, code[np.maximum(back, 0)], np.uint64(0))
-            context = mixed(context * np.uint64(0x9FB21C651E98DF25) + before)
-        base = np.uint64(k * SLOTS)
-        alone.append((mixed(context + base) % np.uint64(SLOTS)).astype(np.int64) + k * SLOTS)
-        pairs.append((mixed(context * np.uint64(31) + code + base) % np.uint64(SLOTS)).astype(np.int64) + k * SLOTS)
-    return pairs, alone
+    code = data.astype(np.int64) + 1
+    gram = code.copy()
+    for k in range(1, ORDER + 1):
+        gram |= np.where(at - k >= begin, code[np.maximum(at - k, 0)], 0) << (k * CODE_BITS)
+    return gram
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's urls; table 0 and 1: pairs and contexts of accepted urls, 2 and 3 of rejected ones."""
-    total = np.zeros((4, (ORDER + 1) * SLOTS), np.int64)
+    """Counts of grams in accepted urls, in rejected ones and in all."""
+
+    def summed(held):
+        kinds = np.concatenate([k for _, k in held])
+        grams, place = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
+        counts = [np.bincount(place[kinds == k], minlength=len(grams)) for k in (1, 0)] + [np.bincount(place)]
+        for k in range(0, len(grams), 1 << 16):
+            cut = slice(k, k + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(x[cut].astype(np.int64)) for x in (grams, *counts)], ["gram", "good", "bad", "n"])
+
+    held, size = [], 0
     for batch in batches:
-        good = np.array(batch.column("good").to_pylist(), bool)
+        kind = batch.column("kind").to_numpy()
         for row, data, offsets in pieces(batch.column("url")):
-            own = np.repeat(good[row : row + len(offsets) - 1], np.diff(offsets))
-            for pair, alone in zip(*_slots(data, offsets), strict=True):
-                for k, (slots, rows) in enumerate(((pair, own), (alone, own), (pair, ~own), (alone, ~own))):
-                    np.add.at(total[k], slots[rows], 1)
-    table, slot = np.nonzero(total)
-    for k in range(0, len(slot), 1 << 16):
-        cut = slice(k, k + (1 << 16))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(table[cut] * total.shape[1] + slot[cut]), pa.array(total[table[cut], slot[cut]])], ["slot", "n"]
-        )
-
-
-def markov_counts(ruled: DataFrame) -> np.ndarray:
-    """The four count tables over all decided urls."""
-    told = ruled.where(F.col("ruled").isNotNull()).select("url", (F.col("ruled") == "allow").alias("good"))
-    counts = told.mapInArrow(_counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    table = np.zeros(4 * (ORDER + 1) * SLOTS, np.float32)
-    for batch in counts.toArrow().to_batches():
-        table[batch.column("slot").to_numpy()] = batch.column("n").to_numpy()
-    return table.reshape(4, -1)
-
-
-def _ratio(tables: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Per row: log-likelihood difference by character."""
-    chance = [np.full(len(data), 1 / 256), np.full(len(data), 1 / 256)]
-    for pair, alone in zip(*_slots(data, offsets), strict=True):
-        for k in (0, 1):
-            chance[k] = (tables[2 * k][pair] + SMOOTHING * chance[k]) / (tables[2 * k + 1][alone] + SMOOTHING)
-            np.maximum(chance[k], 1e-12, out=chance[k])
-    sums = np.concatenate([[0.0], np.cumsum(np.log(chance[0]) - np.log(chance[1]))])
-    lengths = np.maximum(np.diff(offsets), 1)
-    return (sums[offsets[1:]] - sums[offsets[:-1]]) / lengths
-
-
-def with_ratio(ruled: DataFrame, tables: np.ndarray) -> DataFrame:
-    """``ruled`` with the column ``ratio``."""
-    sent = ruled.sparkSession.sparkContext.broadcast(tables)
+            held.append((_grams(data, offsets), np.repeat(kind[row : row + len(offsets) - 1], np.diff(offsets))))
+            size += len(data)
+        if size >= HELD:
+            yield from summed(held)
+            held, size = [], 0
+    if size:
+        yield from summed(held)
+
+
+def gram_counts(ruled: DataFrame) -> DataFrame:
+    """gram, good, bad and n of every gram in any url; good and bad count the decided ones."""
+    told = ruled.select("url", F.when(F.col("ruled") == "allow", 1).when(F.col("ruled") == "block", 0).otherwise(2).alias("kind"))
+    counts = told.mapInArrow(_counted, "gram long, good long, bad long, n long")
+    return counts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in ("good", "bad", "n")])
+
+
+def gram_values(counts: DataFrame) -> DataFrame:
+    """gram, n and value: the difference of the log-probabilities of its last character."""
+    low = lambda c, k: F.col(c).bitwiseAND((1 << k * CODE_BITS) - 1)
+    level = None
+    for k in range(ORDER + 1):
+        # A context has at most 256 characters after it, and as many longer contexts, so no key is hot.
+        around = Window.partitionBy(F.shiftright("pair", CODE_BITS))
+        pairs = counts.groupBy(low("gram", k + 1).alias("pair")).agg(*[F.sum(c).alias(c) for c in ("good", "bad", "n")])
+        pairs = pairs.select("*", *[F.sum(c).over(around).alias(f"all_{c}") for c in ("good", "bad")])
+        if level is None:
+            pairs = pairs.select("*", *[F.lit(1 / 256).alias(f"prior_{c}") for c in ("good", "bad")])
+        else:
+            pairs = pairs.withColumn("shorter", low("pair", k)).join(level, "shorter")
+        chance = {c: F.greatest((F.col(c) + SMOOTHING * F.col(f"prior_{c}")) / (F.col(f"all_{c}") + SMOOTHING), F.lit(1e-12)) for c in ("good", "bad")}
+        level = pairs.select(F.col("pair").alias("shorter"), *[chance[c].alias(f"prior_{c}") for c in chance])
+    return pairs.select(F.col("pair").alias("gram"), "n", (F.log(chance["good"]) - F.log(chance["bad"])).alias("value"))
+
+
+def split_by_count(values: DataFrame, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """The most frequent grams, at most ``most``, and the others (None without any), cut at a power of two of their number."""
+    power = F.floor(F.log2("n"))
+    sizes = values.groupBy(power.alias("power")).count().orderBy(F.desc("power")).collect()
+    total = np.cumsum([r["count"] for r in sizes])
+    kept = int(np.searchsorted(total, most, side="right"))
+    if kept == len(sizes):
+        return values, None
+    least = sizes[kept]["power"]
+    return values.where(power > least), values.where(power <= least)
+
+
+def with_ratio(ruled: DataFrame, most: int = HEAD) -> DataFrame:
+    """``ruled`` with the column ``ratio``: log-likelihood difference by character."""
+    counts = written(gram_counts(ruled), "grams")
+    head, tail = split_by_count(written(gram_values(counts), "values"), most)
+    known = head.select("gram", "value").toArrow().sort_by("gram")
+    sent = ruled.sparkSession.sparkContext.broadcast([known.column(c).to_numpy() for c in ("gram", "value")])
 
     def scored(batches):
+        keys, values = sent.value
         for batch in batches:
-            ratios = [_ratio(sent.value, data, offsets) for _, data, offsets in pieces(batch.column("url"))]
+            sums, lengths, missing, missed = [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for _, data, offsets in pieces(batch.column("url")):
+                grams = _grams(data, offsets)
+                at = np.minimum(np.searchsorted(keys, grams), max(len(keys) - 1, 0))
+                there = keys[at] == grams if len(keys) else np.zeros(len(grams), bool)
+                each = np.zeros(len(grams))
+                each[there] = values[at[there]]
+                total = np.concatenate([[0.0], np.cumsum(each)])
+                lacks = np.concatenate([[0], np.cumsum(~there)])
+                sums.append(total[offsets[1:]] - total[offsets[:-1]])
+                missed.append(lacks[offsets[1:]] - lacks[offsets[:-1]])
+                lengths.append(np.maximum(np.diff(offsets), 1))
+                missing.append(grams[~there])
+            bounds = np.concatenate([[0], np.cumsum(np.concatenate(missed))]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(missing)))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.concatenate([np.zeros(0), *ratios]))], [*batch.schema.names, "ratio"]
+                [*batch.columns, pa.array(np.concatenate(sums)), pa.array(np.concatenate(lengths)), lists],
+                [*batch.schema.names, "part", "length", "missing"],
             )
 
-    return ruled.mapInArrow(scored, f"{', '.join(f'{n} {t}' for n, t in ruled.dtypes)}, ratio double")
+    columns = ", ".join(f"{n} {t}" for n, t in ruled.dtypes)
+    rows = ruled.mapInArrow(scored, f"{columns}, part double, length long, missing array<long>")
+    if tail is None:
+        return rows.select(*ruled.columns, (F.col("part") / F.col("length")).alias("ratio"))
+    # The rest of a url's value depends on the url alone.
+    each = rows.where(F.size("missing") > 0).select("url", "missing").dropDuplicates(["url"])
+    rest = each.select("url", F.explode("missing").alias("gram")).join(tail, "gram").groupBy("url").agg(F.sum("value").alias("rest"))
+    whole = rows.drop("missing").join(rest, "url", "left")
+    ratio = (F.col("part") + F.coalesce("rest", F.lit(0.0))) / F.col("length")
+    return written(whole.select(*ruled.columns, ratio.alias("ratio")), "ratios")
 
 
 def threshold(scored: DataFrame) -> float:
@@ -146,7 +194,7 @@ def threshold(scored: DataFrame) -> float:
     return float(edges[least].mean())
 
 
-def judged(pages: DataFrame, rules=RULES) -> DataFrame:
+def judged(pages: DataFrame, rules=RULES, most: int = HEAD) -> DataFrame:
     """page_id, host, path, rule, verdict and score (null where a rule decides) of every row."""
     narrow = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"))
     ruled = decided(narrow, rules)
@@ -154,7 +202,7 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     columns = ["page_id", "host", "path", "rule"]
     if classes != {"allow", "block"}:
         return ruled.select(*columns, F.coalesce("ruled", F.lit("allow")).alias("verdict"), F.lit(None).cast("double").alias("score"))
-    scored = with_ratio(ruled, markov_counts(ruled))
+    scored = with_ratio(ruled, most)
     cut = threshold(scored)
     score = F.when(F.col("url") == "", 0.0).otherwise(F.col("ratio") - cut)
     verdict = F.coalesce("ruled", F.when(score >= 0, "allow").otherwise("block"))
