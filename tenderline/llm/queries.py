@@ -9,6 +9,7 @@ from tenderline.llm.exact import OP9_SQL, op9_exact_dedup
 from tenderline.llm.jaccard import op5_jaccard_join
 from tenderline.llm.lines import OP10_SQL, op10_line_dedup
 from tenderline.llm.passages import op4_substring_dedup
+from tenderline.llm.periods import op12_periodic_runs
 from tenderline.llm.quality import op3_quality
 from tenderline.llm.toxicity import op6_toxicity
 from tenderline.llm.urls import op7_url_filter
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 SQL = {
