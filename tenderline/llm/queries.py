@@ -8,6 +8,7 @@ from tenderline.llm.decontaminate import op2_decontamination
 from tenderline.llm.exact import OP9_SQL, op9_exact_dedup
 from tenderline.llm.jaccard import op5_jaccard_join
 from tenderline.llm.lines import OP10_SQL, op10_line_dedup
+from tenderline.llm.packing import op11_packing
 from tenderline.llm.passages import op4_substring_dedup
 from tenderline.llm.periods import op12_periodic_runs
 from tenderline.llm.quality import op3_quality
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_packing": op11_packing,
     "op12_periodic_runs": op12_periodic_runs,
 }
 
