@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tenderline.llm.alignment import op13_alignment
 from tenderline.llm.bpe import op8_bpe
 from tenderline.llm.chat import OP1_SQL, op1_chat_format
 from tenderline.llm.decontaminate import op2_decontamination
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_packing": op11_packing,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_alignment": op13_alignment,
 }
 
 SQL = {

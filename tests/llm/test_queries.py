@@ -9,7 +9,7 @@ from tests.llm.conftest import SMALL
 
 def test_registry():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
     assert set(SQL) <= set(entry_module.oracle_sql())
 
