@@ -218,10 +218,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that overlap no item, all their columns."""
-    bad = overlaps(docs, benchmark).select(F.col("row_key").alias("_bad")).distinct()
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")))
-    return docs.withColumn("_key", key).join(bad, F.col("_key") == F.col("_bad"), "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that overlap no item, all their columns, whatever their names."""
+    bad = overlaps(docs, benchmark).select(F.col("doc_id").alias("bad_id"), F.col("row_key").alias("bad_key")).distinct()
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))).alias("key"),
+    )
+    same = F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("key") == F.col("bad_key"))
+    clean = whole.join(bad, same, "left_anti")
+    return clean.select(*[F.col("own").getField(c).alias(c) for c in docs.columns])
 
 
 def op2_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -106,19 +106,19 @@ def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs`` that stay, all their columns; rows are told apart by doc_id and text."""
+    """The rows of ``docs`` that stay, all their columns, whatever their names; rows are told apart by doc_id and text."""
     kept = exact_groups(docs, block_chars).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")
+        F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")
     )
-    whole = docs.withColumn("_sha", F.sha2(normalised(F.col("text")), 256)).alias("d")
-    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha"))
-    once = Window.partitionBy("doc_id", "_sha").orderBy(*[c for c in ("text",) if c in docs.columns])
-    return (
-        whole.join(kept, same, "left_semi")
-        .withColumn("_nth", F.row_number().over(once))
-        .where("_nth = 1")
-        .select(*docs.columns)
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.sha2(normalised(F.col("text")), 256).alias("sha"),
     )
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("sha") == F.col("kept_sha"))
+    once = Window.partitionBy("id", "sha").orderBy(F.col("own").getField("text"))
+    first = whole.join(kept, same, "left_semi").withColumn("nth", F.row_number().over(once)).where("nth = 1")
+    return first.select(*[F.col("own").getField(c).alias(c) for c in docs.columns])
 
 
 def op9_exact_dedup(spark, sf_dir: str) -> DataFrame:

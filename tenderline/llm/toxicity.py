@@ -76,14 +76,26 @@ def with_hits(rows: DataFrame, stems: list[str], patterns: list[str]) -> DataFra
 
 
 def evidence(model: Model) -> Column:
-    """Intercept and the weights of all voters that fire. A stem fires for every longer stem that begins with it."""
-    stems = F.array(*[F.struct(F.lit(s).alias("stem"), F.lit(float(w)).alias("weight")) for s, w in zip(model.stems, model.weights)])
-    fired = F.filter(stems, lambda v: F.exists("_hits", lambda h: h.startswith(v["stem"])))
-    total = F.aggregate(fired, F.lit(model.intercept), lambda n, v: n + v["weight"])
-    for k, weight in enumerate(model.weights[len(model.stems) : -1]):
-        total = total + F.when(F.array_contains("_marks", k), float(weight)).otherwise(0.0)
-    quiet = (F.size("_hits") == 0) & (F.size("_marks") == 0)
-    return total + F.when(quiet, float(model.weights[-1])).otherwise(0.0)
+    """Intercept and the weights of all voters that fire. A stem fires for every longer stem that begins with it.
+
+    One expression over the text in which every pattern stands once, outside the functions over the voters found: a filter on
+    the score may move below a projection, and would take a pattern inside such a function along, once for each voter.
+    """
+    n = len(model.stems)
+    begun = {s: [k for k, other in enumerate(model.stems) if s.startswith(other)] for s in model.stems}
+    voters = F.array(*[F.when(F.col("text").rlike(p), n + k) for k, p in enumerate(model.patterns)]).cast("array<int>")
+    if model.stems:
+        known = F.create_map(*[x for s, own in begun.items() for x in (F.lit(s), F.array(*map(F.lit, own)))])
+        stems = F.flatten(F.transform(_hits(model.stems), lambda hit: F.element_at(known, hit)))
+        voters = F.concat(stems.cast("array<int>"), voters)
+    weights = F.array(*[F.lit(float(w)) for w in model.weights])
+    quiet = float(model.weights[-1])
+    return F.aggregate(
+        F.array_compact(F.array_distinct(voters)),
+        F.struct(F.lit(0).alias("n"), F.lit(float(model.intercept)).alias("total")),
+        lambda sum_, k: F.struct((sum_["n"] + 1).alias("n"), (sum_["total"] + F.get(weights, k)).alias("total")),
+        lambda sum_: sum_["total"] + F.when(sum_["n"] == 0, quiet).otherwise(0.0),
+    )
 
 
 def candidate_stems(train: DataFrame) -> list[str]:
@@ -214,8 +226,7 @@ def scored(rows: DataFrame, model: Model | float) -> DataFrame:
     """``rows`` (with text) and their ``score``."""
     if isinstance(model, float):
         return rows.withColumn("score", F.lit(model))
-    seen = with_hits(rows, model.stems, model.patterns)
-    return seen.withColumn("score", 1 / (1 + F.exp(-evidence(model)))).drop("_hits", "_marks")
+    return rows.withColumn("score", 1 / (1 + F.exp(-evidence(model))))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, parts: int = 5, part: int = 0, most: int = MOST) -> DataFrame:
