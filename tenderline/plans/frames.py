@@ -19,7 +19,7 @@ from tenderline.functions.dates import Period
 from tenderline.functions.numbers import line_amount
 from tenderline.operators.joins import semi
 from tenderline.operators.latest import latest, latest_typed
-from tenderline.sources.tables import Tables
+from tenderline.sources.tables import KINDS, Tables, event_details
 
 PERSON = ["surname", "first_name", "mail"]
 
@@ -79,36 +79,61 @@ def order_amounts(t: Tables, scope: Scope = WHOLE, count_items: bool = False) ->
     )
 
 
-def newest_changes(t: Tables, kind: str, entity: str) -> DataFrame | None:
-    """Newest time by entity of one type of event, from the log alone; None where there is no log apart."""
-    if not t.holds("events"):
-        return None
-    log = t.events.where(F.col("event_type") == kind)
-    return log.groupBy(F.col("event_driven_id").alias(entity)).agg(F.max("created_when").alias("at"))
+def newest_events(t: Tables, view: str, scope: Scope = WHOLE, flagged: bool = False) -> DataFrame:
+    """Details of the newest events of one type, from the log: entity, ``at``, the details, on request ``is_newest``.
+
+    The newest time per entity comes from the log alone, in one combined aggregate, after the scope has dropped other
+    entities; only the events at that time go on to the child table. An event without details hides the older
+    ones of its entity. ``is_newest`` tells that no event of another type came later.
+    """
+    kind = KINDS[view]
+    is_typed = F.col("event_type") == kind.event_type
+    log = t.events.select("id", F.col("event_driven_id").alias(kind.entity), F.col("created_when").alias("at"), "event_type")
+    if not flagged:
+        log = log.where(is_typed)
+    if kind.entity == "order_id":
+        log = within(log, t, scope)
+    newest = log.groupBy(kind.entity).agg(
+        F.max(F.when(is_typed, F.col("at"))).alias("at"), *([F.max("at").alias("newest_of_any")] if flagged else [])
+    )
+    survivors = log.where(is_typed).join(newest, [kind.entity, "at"])
+    details = event_details(t, kind).withColumnRenamed("event_id", "id")
+    found = survivors.join(details, "id").drop("id", "event_type")
+    return found.withColumn("is_newest", F.col("at") == F.col("newest_of_any")).drop("newest_of_any") if flagged else found
 
 
 def latest_states(t: Tables, scope: Scope = WHOLE) -> DataFrame:
     """order_id, state_at, state: all rows at the newest state change."""
     if t.holds("shared_states"):
         return within(t.shared_states, t, scope).select("order_id", "state_at", "state")
-    newest = newest_changes(t, "ORDER_STATE", "order_id")
-    return latest(within(t.order_states, t, scope), "order_id", newest=newest).select(
-        "order_id", F.col("at").alias("state_at"), "state"
-    )
+    if t.reads_log("order_states"):
+        rows = newest_events(t, "order_states", scope)
+    else:
+        rows = latest(within(t.order_states, t, scope), "order_id")
+    return rows.select("order_id", F.col("at").alias("state_at"), "state")
 
 
 def latest_states_flagged(t: Tables, scope: Scope = WHOLE) -> DataFrame:
     """Latest states with ``is_newest``: no event of another type came later."""
     if t.holds("shared_states"):
         return within(t.shared_states, t, scope)
-    return latest_typed(within(t.order_activity, t, scope), "order_id").select(
-        "order_id", F.col("at").alias("state_at"), "state", "is_newest"
-    )
+    if t.reads_log("order_activity"):
+        rows = newest_events(t, "order_states", scope, flagged=True)
+    else:
+        rows = latest_typed(within(t.order_activity, t, scope), "order_id")
+    return rows.select("order_id", F.col("at").alias("state_at"), "state", "is_newest")
 
 
 def latest_supplier_states(t: Tables) -> DataFrame:
-    newest = newest_changes(t, "SUPPLIER_STATE", "supplier_id")
-    return latest(t.supplier_states, "supplier_id", newest=newest).select("supplier_id", F.col("state").alias("supplier_state"))
+    from_log = t.reads_log("supplier_states")
+    rows = newest_events(t, "supplier_states") if from_log else latest(t.supplier_states, "supplier_id")
+    return rows.select("supplier_id", F.col("state").alias("supplier_state"))
+
+
+def latest_registrations(t: Tables) -> DataFrame:
+    from_log = t.reads_log("registrations")
+    rows = newest_events(t, "registrations") if from_log else latest(t.registrations, "supplier_id")
+    return rows.select("supplier_id", "stage")
 
 
 def contracts(t: Tables, buyers: Buyers = Buyers()) -> DataFrame:

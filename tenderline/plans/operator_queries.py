@@ -14,7 +14,6 @@ from tenderline.operators.buckets import bucket_counts
 from tenderline.operators.dedup import first_per
 from tenderline.operators.groups import concat_sorted, cycle_seconds, members_of_groups
 from tenderline.operators.joins import null_safe_join, semi
-from tenderline.operators.latest import latest_typed
 from tenderline.operators.pairs import first_pair_off_gap, pair_totals
 from tenderline.operators.shares import read_whole, share
 from tenderline.operators.weekly import weekly_matrix
@@ -22,6 +21,7 @@ from tenderline.plans.frames import (
     WHOLE,
     contracts,
     latest_states,
+    latest_states_flagged,
     order_amounts,
     purchases,
     supplier_agents,
@@ -41,7 +41,9 @@ def latest_state(t: Tables) -> DataFrame:
 
 
 def latest_any_type(t: Tables) -> DataFrame:
-    return latest_typed(t.order_activity, "order_id").where("is_newest").select("order_id", "at", "state")
+    """Newest events of any type that are state changes."""
+    newest = latest_states_flagged(t).where("is_newest")
+    return newest.select("order_id", F.col("state_at").alias("at"), "state")
 
 
 def dedup_first(t: Tables) -> DataFrame:

@@ -13,13 +13,12 @@ from tenderline.functions.dates import Period
 from tenderline.functions.labels import ORDER_STATES, REGISTRY_STAGES, label
 from tenderline.operators.groups import members_of_groups
 from tenderline.operators.joins import either_key_join, semi
-from tenderline.operators.latest import latest
 from tenderline.plans.frames import (
     PERSON,
     contracts,
     grouped,
+    latest_registrations,
     latest_supplier_states,
-    newest_changes,
     order_rows,
     supplier_agents,
 )
@@ -77,7 +76,7 @@ def duplicate_suppliers(t: Tables, excluded_mails: Sequence[str] = ()) -> DataFr
     registered = t.supplier.select(
         F.col("id").alias("supplier_id"), F.col("created_when").alias("registered_at"), "created_by"
     )
-    stages = latest(t.registrations, "supplier_id", newest=newest_changes(t, "REGISTRATION", "supplier_id")).select("supplier_id", "stage")
+    stages = latest_registrations(t)
     doubles = duplicate_agents(t)
     rows = (
         doubles.join(latest_supplier_states(t), "supplier_id")

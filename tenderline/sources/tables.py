@@ -13,6 +13,7 @@ the files it needs. Besides the stored tables it offers the typed views of the e
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,10 @@ class Tables:
     def holds(self, name: str) -> bool:
         return name in self._makers
 
+    def reads_log(self, view: str) -> bool:
+        """Whether ``view`` is read from the stored log and its child table, not from a frame of its own."""
+        return self.holds("events") and self._makers.get(view) is EVENT_VIEWS[view]
+
     def replace(self, **frames: DataFrame) -> Tables:
         """The same tables with some frames swapped, e.g. for one written earlier."""
         makers = dict(self._makers)
@@ -76,65 +81,60 @@ class Tables:
         return Tables(makers)
 
 
-def _typed(kind: str, child: str) -> Callable[[Tables], DataFrame]:
-    def make(t: Tables) -> DataFrame:
-        log = t.events.where(F.col("event_type") == kind)
-        detail = getattr(t, child)
-        return log.join(detail, log["id"] == detail["event_id"])
+@dataclass(frozen=True)
+class Kind:
+    """One type of event: the child table with its details, the entity it happens to, what the details are called."""
 
-    return make
+    event_type: str
+    child: str
+    entity: str
+    details: tuple[tuple[str, str], ...]
 
 
-def _order_states(t: Tables) -> DataFrame:
-    return _typed("ORDER_STATE", "order_state_event")(t).select(
-        F.col("event_driven_id").alias("order_id"),
-        F.col("created_when").alias("at"),
-        F.col("order_state").alias("state"),
-    )
+KINDS = {
+    "order_states": Kind("ORDER_STATE", "order_state_event", "order_id", (("order_state", "state"),)),
+    "supplier_states": Kind("SUPPLIER_STATE", "supplier_state_event", "supplier_id", (("supplier_state", "state"),)),
+    "registrations": Kind("REGISTRATION", "register_stages", "supplier_id", (("registry_stage", "stage"),)),
+    "param_changes": Kind(
+        "ORDER_PARAM_CHANGE", "order_param_change_event", "order_id",
+        (("parameter_name", "parameter_name"), ("new_value", "new_value")),
+    ),
+}
 
 
-def _order_activity(t: Tables) -> DataFrame:
-    detail = t.order_state_event
-    return t.events.join(detail, t.events["id"] == detail["event_id"], "left").select(
-        F.col("event_driven_id").alias("order_id"),
-        F.col("created_when").alias("at"),
-        F.col("order_state").alias("state"),
-        (F.col("event_type") == "ORDER_STATE").alias("is_typed"),
-        F.col("event_id").isNotNull().alias("has_detail"),
-    )
+def event_details(t: Tables, kind: Kind) -> DataFrame:
+    """event_id and the details of one type of event."""
+    return getattr(t, kind.child).select("event_id", *[F.col(a).alias(b) for a, b in kind.details])
 
 
-def _supplier_states(t: Tables) -> DataFrame:
-    return _typed("SUPPLIER_STATE", "supplier_state_event")(t).select(
-        F.col("event_driven_id").alias("supplier_id"),
-        F.col("created_when").alias("at"),
-        F.col("supplier_state").alias("state"),
-    )
+def _view(name: str) -> Callable[[Tables], DataFrame]:
+    kind = KINDS[name]
 
+    def make(t: Tables) -> DataFrame:
+        log = t.events.where(F.col("event_type") == kind.event_type)
+        return log.join(event_details(t, kind), log["id"] == F.col("event_id")).select(
+            F.col("event_driven_id").alias(kind.entity),
+            F.col("created_when").alias("at"),
+            *[b for _, b in kind.details],
+        )
 
-def _registrations(t: Tables) -> DataFrame:
-    return _typed("REGISTRATION", "register_stages")(t).select(
-        F.col("event_driven_id").alias("supplier_id"),
-        F.col("created_when").alias("at"),
-        F.col("registry_stage").alias("stage"),
-    )
+    return make
 
 
-def _param_changes(t: Tables) -> DataFrame:
-    return _typed("ORDER_PARAM_CHANGE", "order_param_change_event")(t).select(
+def _order_activity(t: Tables) -> DataFrame:
+    detail = t.order_state_event
+    return t.events.join(detail, t.events["id"] == detail["event_id"], "left").select(
         F.col("event_driven_id").alias("order_id"),
         F.col("created_when").alias("at"),
-        "parameter_name",
-        "new_value",
+        F.col("order_state").alias("state"),
+        (F.col("event_type") == "ORDER_STATE").alias("is_typed"),
+        F.col("event_id").isNotNull().alias("has_detail"),
     )
 
 
 EVENT_VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
-    "order_states": _order_states,
+    **{name: _view(name) for name in KINDS},
     "order_activity": _order_activity,
-    "supplier_states": _supplier_states,
-    "registrations": _registrations,
-    "param_changes": _param_changes,
 }
 
 
