@@ -40,7 +40,7 @@ from tenderline.llm.tokens import byte_level
 
 # Bytes of text that are aligned at once, and that a block has at most (one longer text is a block by itself).
 PIECE_BYTES = 512 << 10
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 4 << 20
 # Distinct pairs of a block.
 BLOCK_PAIRS = 1 << 20
 # Tasks between which the pairs of a shard are dealt before their vectors are summed.
@@ -58,6 +58,18 @@ def piece_bytes(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
     return found
 
 
+@lru_cache(maxsize=4)
+def _decimals(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The decimal digits of all numbers of so many bits, right-aligned before one free place, and which places are used."""
+    numbers, width = np.arange(1 << bits), len(str((1 << bits) - 1))
+    digits, shown = np.zeros((len(numbers), width + 1), np.uint8), np.ones((len(numbers), width + 1), bool)
+    for place in range(width):
+        rest = numbers // 10**place
+        digits[:, width - 1 - place] = 48 + rest % 10
+        shown[:, width - 1 - place] = (rest > 0) | (place == 0)
+    return digits, shown
+
+
 @dataclass
 class Alignment:
     """Tokens and groups of several documents, in their order; ``doc`` numbers the documents."""
@@ -109,17 +121,10 @@ class Alignment:
         ids[np.arange(n_a) + before_b[self.group_a]] = self.ids_a
         ids[np.arange(n_b) + until_a[self.group_b]] = self.ids_b
         mark[until_a + before_b - 1], mark[until_a + until_b - 1] = ord("|"), ord(";")
-        digits = np.zeros((len(ids), 11), np.uint8)
-        length = np.zeros(len(ids), np.int64)
-        rest, place = ids.copy(), 0
-        while place == 0 or rest.any():  # from the last digit on
-            open_ = (rest > 0) | (place == 0)
-            digits[open_, 9 - place] = 48 + rest[open_] % 10
-            length += open_
-            rest, place = rest // 10, place + 1
-        digits[:, 10] = mark
-        shown = np.arange(11) >= 10 - length[:, None]
-        ends = np.cumsum(shown.sum(1))
+        digits, shown = _decimals(int(ids.max(initial=0)).bit_length())
+        digits, shown = digits[ids], shown[ids]
+        digits[:, -1] = mark
+        ends = np.cumsum(np.count_nonzero(shown, axis=1))
         flat = digits[shown].tobytes()
         last = np.searchsorted(self.doc, np.arange(self.size), side="right")
         out, begin = [], 0
