@@ -29,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -58,21 +59,18 @@ def piece_bytes(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
     return found
 
 
+MARKS = b",|;"
+
+
 @lru_cache(maxsize=4)
-def _decimals(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The decimal digits of all numbers of so many bits, right-aligned before one free place, and which places are used."""
-    numbers, width = np.arange(1 << bits), len(str((1 << bits) - 1))
-    digits, shown = np.zeros((len(numbers), width + 1), np.uint8), np.ones((len(numbers), width + 1), bool)
-    for place in range(width):
-        rest = numbers // 10**place
-        digits[:, width - 1 - place] = 48 + rest % 10
-        shown[:, width - 1 - place] = (rest > 0) | (place == 0)
-    return digits, shown
+def _decimals(bits: int) -> pa.Array:
+    """All numbers of so many bits as decimals, before each of the marks."""
+    return pa.array([b"%d%c" % (n, mark) for mark in MARKS for n in range(1 << bits)], pa.large_binary())
 
 
 @dataclass
 class Alignment:
-    """Tokens and groups of several documents, in their order; ``doc`` numbers the documents."""
+    """Tokens and groups of several documents, in their sequence; ``doc`` numbers the documents."""
 
     size: int
     ids_a: np.ndarray
@@ -114,25 +112,21 @@ class Alignment:
     def told(self) -> list[bytes]:
         """The groups of each document as text: ids of A, a bar, ids of B; groups apart by semicolons."""
         n_a, n_b = len(self.ids_a), len(self.ids_b)
-        ids, mark = np.zeros(n_a + n_b, np.int64), np.full(n_a + n_b, ord(","), np.uint8)
+        ids, mark = np.zeros(n_a + n_b, np.int64), np.zeros(n_a + n_b, np.int64)
         groups = np.arange(len(self.doc))
         until_a, until_b = np.searchsorted(self.group_a, groups, side="right"), np.searchsorted(self.group_b, groups, side="right")
         before_b = np.concatenate([[0], until_b[:-1]]) if len(groups) else until_b
         ids[np.arange(n_a) + before_b[self.group_a]] = self.ids_a
         ids[np.arange(n_b) + until_a[self.group_b]] = self.ids_b
-        mark[until_a + before_b - 1], mark[until_a + until_b - 1] = ord("|"), ord(";")
-        digits, shown = _decimals(int(ids.max(initial=0)).bit_length())
-        digits, shown = digits[ids], shown[ids]
-        digits[:, -1] = mark
-        ends = np.cumsum(np.count_nonzero(shown, axis=1))
-        flat = digits[shown].tobytes()
+        mark[until_a + before_b - 1], mark[until_a + until_b - 1] = MARKS.index(b"|"), MARKS.index(b";")
+        bits = int(ids.max(initial=0)).bit_length()
+        shown = pc.take(_decimals(bits), pa.array(ids + (mark << bits)))
+        _, places, data = shown.buffers()
+        places = np.frombuffer(places, np.int64, len(shown) + 1)
         last = np.searchsorted(self.doc, np.arange(self.size), side="right")
-        out, begin = [], 0
-        for k in last.tolist():
-            end = int(ends[until_a[k - 1] + until_b[k - 1] - 1]) if k else 0
-            out.append(flat[begin : max(end - 1, begin)])
-            begin = max(end, begin)
-        return out
+        ends = np.where(last > 0, (until_a + until_b)[last - 1] if len(groups) else 0, 0).tolist()
+        ends = places[ends].tolist()
+        return [data[a : b - 1].to_pybytes() if b > a else b"" for a, b in zip([0, *ends], ends)]
 
 
 class Aligner:
@@ -149,13 +143,14 @@ class Aligner:
             self.lengths_a[i] = len(token)
         self.wide = len(self.bytes_b)
 
-    def align(self, rows: list[str | None]) -> Alignment:
+    def align(self, rows: list[str | None], sound: bool = False) -> Alignment:
+        """``sound``: all texts are known to come back from their pieces."""
         full = [k for k, text in enumerate(rows) if text]
         split_b = self.b.encode([rows[k] for k in full], num_threads=1)
         doc, ids_a, ids_b = [], [], []
         for k, ids in zip(full, split_b):
             raw = " " + rows[k]
-            if b"".join(map(self.bytes_b.__getitem__, ids)) == raw.encode():
+            if sound or b"".join(map(self.bytes_b.__getitem__, ids)) == raw.encode():
                 doc.append(k)
                 ids_a.append(self.a.encode(raw))
                 ids_b.append(np.array(ids, np.int64))
@@ -219,8 +214,8 @@ class _Sums:
         keys = np.concatenate([self.keys, *(k for k, _ in self.waiting)])
         counts = np.concatenate([self.counts, *(c for _, c in self.waiting)])
         self.waiting = []
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
+        ranks = np.argsort(keys, kind="stable")
+        keys, counts = keys[ranks], counts[ranks]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
         self.keys, self.counts = keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
@@ -244,11 +239,11 @@ def _survey(batches: Iterator[pa.RecordBatch], sent, shards: int) -> Iterator[pa
     def closed() -> pa.RecordBatch:
         sums.settle()
         home = shard_of(sums.keys, shards)
-        order = np.argsort(home, kind="stable")
-        cuts = np.searchsorted(home[order], np.arange(shards + 1))
+        ranks = np.argsort(home, kind="stable")
+        cuts = np.searchsorted(home[ranks], np.arange(shards + 1))
         rows = []
         for s in range(shards):
-            own = order[cuts[s] : cuts[s + 1]]
+            own = ranks[cuts[s] : cuts[s + 1]]
             if len(own):
                 rows.append((block, s, sums.keys[own].tobytes(), sums.counts[own].tobytes(), None))
         return _rows(rows)
@@ -261,10 +256,13 @@ def _survey(batches: Iterator[pa.RecordBatch], sent, shards: int) -> Iterator[pa
                 block, sums, size = block + 1, _Sums(), 0
             size += n
             part = rows.slice(a, b - a)
-            pairs, doc, _ = one.align(part.to_pylist()).links(one.wide)
+            found = one.align(part.to_pylist())
+            sound = np.zeros(len(part), bool)
+            sound[found.doc] = True
+            pairs, doc, _ = found.links(one.wide)
             pairs = np.unique(doc << 40 | pairs) & (1 << 40) - 1
             sums.add(pairs, np.ones(len(pairs), np.int64))
-            yield _rows([(block, None, None, None, _packed(ids.slice(a, b - a), part))])
+            yield _rows([(block, None, None, None, _packed(ids.slice(a, b - a), pc.if_else(pa.array(sound), part, None)))])
     yield closed()
 
 
@@ -406,7 +404,7 @@ def _resolved(batches: Iterator[pa.RecordBatch], sent, most, with_text: bool) ->
             if known.waiting:
                 known.settle()
             doc_ids, rows = _opened(blob)
-            found = one.align(rows)
+            found = one.align(rows, sound=True)
             pairs, doc, times = found.links(one.wide)
             counts = known.counts[np.searchsorted(known.keys, pairs)]
             n_best = found.per_doc(np.where(counts == best[pairs // one.wide], times, 0), doc)
