@@ -1,12 +1,17 @@
 """Exact set-similarity join on word shingles, with skipped lists and answers taken over from similar sets.
 
-Index. Equal sets are one class. A set's shingles are ordered from rare to frequent (counts of all documents in a
-sketch of fixed size; any order would give the same links) and its first |s| - ceil(t |s|) + 1 shingles go to the index
+Index. Equal sets are one class. A set's shingles are ordered from rare to frequent: a shingle is at most as frequent as its
+rarest word, and words are counted over all documents in a sketch of fixed size. Text has few frequent words and they stand out
+at any size of the input, while a sketch of the shingles themselves fills up with those that occur once (any sequence
+would give the same links). A set's first |s| - ceil(t |s|) + 1 shingles go to the index
 lists, with the set's size and the shingle's position. Two sets that are similar to t or more meet in a list.
 
 Skipping by position. Sets that meet at positions p and q share at most min(p, q) shingles before and
 min(|x| - p, |y| - q) from there on; pairs whose bound is too small, sizes included, are never looked at.
 
+Parities. Each set has an array of bits, a 32nd of its size: the parity of the number of shingles in each slot. Where the
+arrays of two sets differ, their shingles differ, so most pairs are ruled out exactly before a set is moved.
+
 Answers from similar sets. A list is not expanded into pairs. Its first member by position is the hub, and the others
 are compared with the hub only:
 
@@ -45,22 +50,35 @@ SHORT_LIST = 128
 SENT_PAIRS = 1_000_000
 
 
-def sets_of(column: pa.Array, words: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
+def sets_of(column: pa.Array, words: int, counts: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """The sorted distinct shingle hashes of each text and, from the ``counts`` of words, how often the rarest word of each occurs."""
     for _, data, offsets in pieces(column):
         hashes, bounds = word_hashes(data, offsets)
+        often = None if counts is None else word_counts(hashes, counts)
         for k in range(len(offsets) - 1):
             own = hashes[bounds[k] : bounds[k + 1]]
-            if 0 < len(own) < words:
-                yield shingled(own, len(own)) + np.uint64(len(own))
+            width = min(words, len(own))
+            found = shingled(own, width) + np.uint64(len(own) if 0 < len(own) < words else 0)
+            if not len(own):
+                yield np.zeros(0, np.uint64), None if often is None else np.zeros(0, np.int64)
+            elif often is None:
+                yield np.unique(found), None
             else:
-                yield np.unique(shingled(own, words))
+                found, first = np.unique(found, return_index=True)
+                rarest = np.lib.stride_tricks.sliding_window_view(often[bounds[k] : bounds[k + 1]], width).min(1)
+                yield found, rarest[first]
 
 
-def _slots(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     low = np.uint64((1 << SKETCH_BITS) - 1)
-    first = (shingles & low).astype(np.int64)
-    return first, ((shingles >> np.uint64(SKETCH_BITS)) & low).astype(np.int64) + (1 << SKETCH_BITS)
+    first = (hashes & low).astype(np.int64)
+    return first, ((hashes >> np.uint64(SKETCH_BITS)) & low).astype(np.int64) + (1 << SKETCH_BITS)
+
+
+def word_counts(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How often each word occurs, from above; coarse on purpose, so that rare words are alike."""
+    one, two = _slots(hashes)
+    return np.minimum(counts[one], counts[two])
 
 
 _PROFILE = "doc_id long, n long, d1 long, d2 long, part int, counts binary"
@@ -72,9 +90,10 @@ def _profiled(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
     names = [f.split()[0] for f in _PROFILE.split(", ")]
     for batch in batches:
         rows = []
-        for found in sets_of(batch.column("text"), words):
-            for slots in _slots(found):
-                np.add.at(counts, slots, 1)
+        for _, data, offsets in pieces(batch.column("text")):
+            for slots in _slots(word_hashes(data, offsets)[0]):
+                counts += np.bincount(slots, minlength=len(counts))
+        for found, _ in sets_of(batch.column("text"), words):
             rows.append((len(found), *np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), np.int64).tolist()))
         n, d1, d2 = zip(*rows) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays(
@@ -111,21 +130,54 @@ def sketch_of(profile: DataFrame) -> np.ndarray:
 def _prefixes(batches: Iterator[pa.RecordBatch], sent, words: int, percent: int) -> Iterator[pa.RecordBatch]:
     counts = sent.value
     for batch in batches:
-        sizes, kept = [], []
-        for found in sets_of(batch.column("text"), words):
+        sizes, kept, bits = [], [], []
+        for found, rarest in sets_of(batch.column("text"), words, counts):
             n = len(found)
-            one, two = _slots(found)
-            order = np.lexsort((found, np.minimum(counts[one], counts[two])))
+            ranks = np.lexsort((found, rarest))
             sizes.append(n)
-            kept.append(found[order[: n + percent * -n // 100 + 1 if n else 0]].astype(np.int64))
+            kept.append(found[ranks[: n + percent * -n // 100 + 1 if n else 0]].astype(np.int64))
+            bits.append(parities(found))
         bounds = np.cumsum([0, *map(len, kept)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.zeros(0, np.int64), *kept])))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), lists], ["doc_id", "n", "prefix"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(sizes, pa.int64()), lists, pa.array(bits, pa.binary())], ["doc_id", "n", "prefix", "bits"]
+        )
+
+
+def parities(found: np.ndarray) -> bytes:
+    """For each of at least twice as many slots as shingles whether an odd number of them falls into it."""
+    size = 1 << max((2 * len(found) - 1).bit_length(), 8)
+    slots = np.bincount((found & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits(slots & 1 == 1, bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """How many shingles are in one of two sets alone, from below: slots of different parity, the longer array folded."""
+    one, two = (np.frombuffer(x, np.uint8) for x in ((a, b) if len(a) >= len(b) else (b, a)))
+    while len(one) > len(two):
+        one = one[: len(one) // 2] ^ one[len(one) // 2 :]
+    return int(np.bitwise_count(one ^ two).sum())
+
+
+def _plausible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs whose parities leave room for a similarity of ``percent``: of n + m shingles at most (100 - t) / (100 + t) differ."""
+    for batch in batches:
+        x, y, n, m = (batch.column(c).to_numpy() for c in ("x", "y", "n", "m"))
+        least = map(least_difference, batch.column("bx").to_pylist(), batch.column("by").to_pylist())
+        keep = np.fromiter(least, np.int64, len(x)) * (100 + percent) <= (100 - percent) * (n + m)
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]), pa.array(y[keep])], ["x", "y"])
+
+
+def plausible(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y) that may be similar to ``percent`` by their parity arrays, a small part of the sets' size; none that is goes."""
+    of = lambda side, size: arrays.select(F.col("doc_id").alias(side), F.col("n").alias(size), F.col("bits").alias(f"b{side}"))
+    met = pairs.join(of("y", "m"), "y").join(of("x", "n"), "x")
+    return met.select("x", "y", "n", "m", "bx", "by").mapInArrow(lambda b: _plausible(b, percent), "x long, y long").distinct()
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kept = [x.astype(np.int64) for x in sets_of(batch.column("text"), words)]
+        kept = [x.astype(np.int64) for x, _ in sets_of(batch.column("text"), words)]
         bounds = np.cumsum([0, *map(len, kept)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.zeros(0, np.int64), *kept])))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "set"])
@@ -187,7 +239,7 @@ def derived_links(near: DataFrame, percent: int) -> DataFrame:
     rare = spread.join(often, ["x", "e"]).withColumn(
         "nth", F.row_number().over(Window.partitionBy("x", "y").orderBy("often", "e"))
     )
-    # Shingles of one set alone come first in the order and meet nobody: they only use up the prefix.
+    # Shingles of one set alone come first in the ranking and meet nobody: they only use up the prefix.
     single = told.join(rare.groupBy("x", "y").agg(F.count(F.lit(1)).alias("common")), ["x", "y"]).select(
         "x", "y", (F.size("differing") - F.col("common")).alias("alone")
     )
@@ -206,8 +258,10 @@ def links(rows: DataFrame, profile: DataFrame, reps: DataFrame, words: int, perc
     """Links (a, b) between representatives that connect the same documents as all links do."""
     near_percent = max(2 * percent - 100, 1)
     sent = rows.sparkSession.sparkContext.broadcast(sketch_of(profile))
-    prefixes = rows.mapInArrow(lambda b: _prefixes(b, sent, words, percent), "doc_id long, n long, prefix array<long>")
-    entries = prefixes.join(reps, "doc_id", "left_semi").select(
+    prefixes = rows.mapInArrow(lambda b: _prefixes(b, sent, words, percent), "doc_id long, n long, prefix array<long>, bits binary")
+    prefixes = written(prefixes.join(reps, "doc_id", "left_semi"), "prefixes")
+    arrays = prefixes.select("doc_id", "n", "bits")
+    entries = prefixes.select(
         F.col("doc_id").alias("y"), "n", F.posexplode("prefix").alias("p", "w")
     )
     first = Window.partitionBy("w").orderBy("p", "y")
@@ -218,7 +272,7 @@ def links(rows: DataFrame, profile: DataFrame, reps: DataFrame, words: int, perc
     found = None
     while True:
         pairs = members.where(_may_reach(near_percent, "n", "p", "m", "q")).select("x", "y").distinct()
-        pairs = written(pairs, "pairs")
+        pairs = written(plausible(pairs, arrays, near_percent), "pairs")
         near = written(compared(pairs, rows, words, near_percent, True), "near")
         here = near.where(_linked(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
         here = here.unionByName(derived_links(near, percent))
@@ -238,7 +292,7 @@ def links(rows: DataFrame, profile: DataFrame, reps: DataFrame, words: int, perc
         apart = "x <> y AND (gx IS NULL OR g IS NULL OR gx <> g)"
         meet = short.join(free, "w").where(apart).where(_may_reach(percent, "n", "p", "m", "q"))
         meet = meet.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        pairs = written(meet.select("x", "y").distinct(), "pairs")
+        pairs = written(plausible(meet.select("x", "y").distinct(), arrays, percent), "pairs")
         if not pairs.isEmpty():
             here = here.unionByName(compared(pairs, rows, words, percent, False).select(F.col("x").alias("a"), F.col("y").alias("b")))
         here = written(here.distinct(), "links")
