@@ -9,10 +9,11 @@
    of a shorter item), at least SHARE are equal at their places; replaced words are tolerated, and hash hits by chance
    go.
 
-Items with equal words are one item (the smallest item_id). The table of bits is the same size for any benchmark: a
+Items of fewer than LEAST_WORDS words have one seed, of all their words, and count only where every word is equal. Items
+with equal words are one item (the smallest item_id) while they are looked for; ``every_item`` gives the others back. The table of bits is the same size for any benchmark: a
 larger one filters less, and what is joined stays exact. Nothing is collected but that table.
 
-Defined results: null texts are empty and overlap nothing; items of fewer than LEAST_WORDS words are not looked for;
+Defined results: null texts are empty and overlap nothing; items without words are not looked for;
 a benchmark passage in repeated rows is found in each; null ids are kept as they are; empty tables give no overlaps.
 """
 
@@ -38,17 +39,18 @@ AROUND = 64
 TABLE_BITS = 27
 
 
-def seeds(hashes: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """(mask, hashes by position) of consecutive words."""
+def seeds(hashes: np.ndarray, short: tuple[int, ...] = ()) -> list[tuple[int, np.ndarray]]:
+    """(words it spans, hashes by position) of each mask over consecutive words, and of all ``short`` lengths of whole items."""
     found = []
-    for k, mask in enumerate(MASKS):
+    masks = [(k + 1, mask) for k, mask in enumerate(MASKS)] + [(64 + n, "1" * n) for n in short]
+    for first, mask in masks:
         n = len(hashes) - len(mask) + 1
-        total = np.full(max(n, 0), k + 1, np.uint64)
+        total = np.full(max(n, 0), first, np.uint64)
         for at, looks in enumerate(mask):
             if looks == "1" and n > 0:
                 total = (total ^ hashes[at : at + n]) * np.uint64(0x9FB21C651E98DF25)
                 total ^= total >> np.uint64(32)
-        found.append((k, mixed(total)))
+        found.append((len(mask), mixed(total)))
     return found
 
 
@@ -75,18 +77,28 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """item_id and word hashes of every distinct item that is long enough."""
+    """item_id and word hashes of every distinct item with words."""
+    return _hashed(benchmark).groupBy("d").agg(F.min("item_id").alias("item_id"), F.first("tokens").alias("tokens"))
+
+
+def _hashed(benchmark: DataFrame) -> DataFrame:
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    hashed = rows.mapInArrow(_items, _ITEM)
-    return hashed.where(F.size("tokens") >= LEAST_WORDS).groupBy("d").agg(
-        F.min("item_id").alias("item_id"), F.first("tokens").alias("tokens")
-    )
+    return rows.mapInArrow(_items, _ITEM).where(F.size("tokens") > 0)
+
+
+def every_item(found: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Rows about an item, for each item with the same words."""
+    each = _hashed(benchmark).select("d", F.col("item_id").alias("same_id")).distinct()
+    least = each.groupBy("d").agg(F.min("same_id").alias("item_id"))
+    named = found.join(least, found["item_id"].eqNullSafe(least["item_id"])).drop("item_id").join(each, "d")
+    return named.withColumnRenamed("same_id", "item_id").drop("d")
 
 
 def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for mark, tokens in zip(batch.column("d").to_pylist(), batch.column("tokens")):
-            for _, keys in seeds(tokens.values.to_numpy().astype(np.uint64)):
+            own = tokens.values.to_numpy().astype(np.uint64)
+            for _, keys in seeds(own)[: len(MASKS)] if len(own) >= LEAST_WORDS else seeds(own, (len(own),))[len(MASKS) :]:
                 places = np.arange(len(keys), dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.astype(np.int64)), pa.array([mark] * len(keys), pa.string()), pa.array(places)], ["key", "d", "place"]
@@ -120,7 +132,7 @@ _REGION_ARROW = pa.schema(
 )
 
 
-def _regions(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
+def _regions(batches: Iterator[pa.RecordBatch], sent, short: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
     """Stretches of documents around positions whose seed may be in the benchmark."""
     table = sent.value
     one = np.uint64(1)
@@ -134,17 +146,17 @@ def _regions(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch
         for row, data, offsets in pieces(batch.column("text")):
             hashes, bounds = word_hashes(data, offsets)
             places, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-            for k, found in seeds(hashes):
+            for span, found in seeds(hashes, short):
                 first, second = _bits(found)
                 may = np.flatnonzero(is_set(first))
                 may = may[is_set(second[may])]
                 home = np.searchsorted(bounds, may, side="right")
-                may = may[may + len(MASKS[k]) <= bounds[home]]  # within one document
+                may = may[may + span <= bounds[home]]  # within one document
                 places.append(may)
                 keys.append(found[may])
             places, keys = np.concatenate(places), np.concatenate(keys)
-            order = np.argsort(places, kind="stable")
-            places, keys = places[order], keys[order]
+            ranks = np.argsort(places, kind="stable")
+            places, keys = places[ranks], keys[ranks]
             home = np.searchsorted(bounds, places, side="right") - 1
             new = np.ones(len(places), bool)
             new[1:] = (np.diff(places) > AROUND) | (np.diff(home) > 0)
@@ -175,9 +187,10 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             width = min(WINDOW, len(item))
             if b - a < width:
                 continue
+            least = len(item) if len(item) < LEAST_WORDS else np.ceil(SHARE * width)
             equal = text[lead + a : lead + b] == item[a:b]
             sums = np.concatenate([[0], np.cumsum(equal)])
-            good = np.flatnonzero(sums[width:] - sums[:-width] >= np.ceil(SHARE * width))
+            good = np.flatnonzero(sums[width:] - sums[:-width] >= least)
             if len(good):
                 first, last = int(good[0]), int(good[-1]) + width - 1
                 rows.append((*ids, shift + a + first, shift + a + last, int(equal[first : last + 1].sum())))
@@ -197,7 +210,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = written(items_of(benchmark), "items")
     item_seeds = written(items.select("d", "tokens").mapInArrow(_item_seeds, "key long, d string, place int"), "seeds")
     sent = docs.sparkSession.sparkContext.broadcast(bit_table(item_seeds))
-    regions = written(_keyed(docs).mapInArrow(lambda b: _regions(b, sent), _REGION), "regions")
+    # At most LEAST_WORDS - 1 lengths.
+    lengths = items.where(F.size("tokens") < LEAST_WORDS).select(F.size("tokens").alias("n")).distinct().collect()
+    short = tuple(sorted(r["n"] for r in lengths))
+    regions = written(_keyed(docs).mapInArrow(lambda b: _regions(b, sent, short), _REGION), "regions")
     hits = regions.select("row_key", "start", F.explode("hits").alias("h")).select("row_key", "start", "h.key", F.col("h.place").alias("at"))
     aligned = (
         hits.distinct()
@@ -231,5 +247,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op2_decontamination(spark, sf_dir: str) -> DataFrame:
-    found = contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    benchmark = read_table(spark, sf_dir, "benchmark")
+    found = every_item(contaminated(read_table(spark, sf_dir, "documents"), benchmark), benchmark)
     return found.select("doc_id", "item_id", "first_word", "last_word", "n_equal").distinct()
