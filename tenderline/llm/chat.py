@@ -10,7 +10,7 @@ with its place, its reference and the number of tokens it expands to. The templa
 more, which ``unescaped`` takes away again. A role is escaped likewise, and its line feeds are spelt out.
 
 The output has one row per turn (its piece of the formatted conversation, ``at`` = where it begins, the loss span, the
-attachments), so a very long conversation is never one value. ``read_back`` streams over the pieces in order with one
+attachments), so a very long conversation is never one value. ``read_back`` streams over the pieces in sequence with one
 open conversation per task.
 
 Defined results: a null text is empty, a null role is the empty role, a null part or an unknown kind gives nothing;
@@ -97,9 +97,9 @@ def format_turns(turns: DataFrame) -> DataFrame:
     flat = flat.withColumn("content", F.array_join(F.transform("flat", lambda x: x["out"]), ""))
     head = F.concat(F.lit("<|im_start|>"), escaped_role(F.col("role")), F.lit("\n"))
     whole = flat.withColumn("head", F.length(head)).withColumn("piece", F.concat(head, "content", F.lit("<|im_end|>\n")))
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "content")
-    before = F.coalesce(F.sum(F.length("piece")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = whole.withColumn("at", before).withColumn("nth", F.row_number().over(order))
+    by_turn = Window.partitionBy("conv_id").orderBy("turn", "role", "content")
+    before = F.coalesce(F.sum(F.length("piece")).over(by_turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = whole.withColumn("at", before).withColumn("nth", F.row_number().over(by_turn))
     begin = F.col("at") + F.col("head")
     # Where each part begins in its content: lengths of the parts before it.
     starts = F.transform(
@@ -135,7 +135,7 @@ def _as_struct() -> str:
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digests of the conversations, from their pieces in order."""
+    """Digests of the conversations, from their pieces in sequence."""
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "attachment_tokens"]
     types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
     state: list = []

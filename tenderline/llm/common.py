@@ -150,7 +150,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def shingled(hashes: np.ndarray, n: int) -> np.ndarray:
-    """The hash of each run of n words; the words' order counts."""
+    """The hash of each run of n words; the words' sequence counts."""
     found = np.zeros(max(len(hashes) - n + 1, 0), np.uint64)
     for k in range(n):
         part = hashes[k : len(hashes) - n + 1 + k]

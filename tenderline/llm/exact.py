@@ -12,7 +12,7 @@ look the name up and move without the block, spread over all tasks. Every other
 
 Defined results: a null text is an empty text, an empty text is one empty block; a null doc_id counts as largest; of
 rows with equal text and equal doc_id one stays; an empty table gives an empty result; other columns are not read.
-``row`` ids follow the order in which the input's files are read, so pass a table that reads alike each time.
+``row`` ids follow the sequence in which the input's files are read, so pass a table that reads alike each time.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ def held_out(parts: int, part: int) -> Column:
 
 
 def label_sample(labels: DataFrame, label: str, parts: int, part: int, most: int = SAMPLE_ROWS) -> DataFrame:
-    """At most ``most`` (doc_id, label) rows of the training fold, in hash order; a doc_id labelled twice is its smaller label."""
+    """At most ``most`` (doc_id, label) rows of the training fold, by hash; a doc_id labelled twice is its smaller label."""
     told = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(parts, part))
     each = told.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(label).cast("double").alias("label"))
     return each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)

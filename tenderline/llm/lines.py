@@ -104,8 +104,8 @@ class Shard:
         shard = cls(np.array(sizes, np.int64), bits, prints, counts)
         shard.index()
         where = shard.find(keys, prints)
-        order = np.argsort(where, kind="stable")
-        shard.prints, shard.counts = prints[order], counts[order]
+        ranks = np.argsort(where, kind="stable")
+        shard.prints, shard.counts = prints[ranks], counts[ranks]
         return shard
 
     def index(self) -> None:

@@ -128,11 +128,11 @@ def packed(sizes: np.ndarray, window: int = WINDOW) -> np.ndarray:
     rows = [np.column_stack([doc, nth * window, np.full(len(doc), window), np.arange(len(doc)), np.zeros(len(doc), np.int64)])]
     n = len(doc)
     # The remainders of each length, as stacks of (document, start).
-    order = np.argsort(rest, kind="stable")
-    lengths, first = np.unique(rest[order], return_index=True)
+    ranks = np.argsort(rest, kind="stable")
+    lengths, first = np.unique(rest[ranks], return_index=True)
     stacks = {
         length: list(zip(own.tolist(), (whole[own] * window).tolist()))
-        for length, own in zip(lengths.tolist(), np.split(order, first[1:]))
+        for length, own in zip(lengths.tolist(), np.split(ranks, first[1:]))
         if length
     }
     shared = []

@@ -144,13 +144,13 @@ def runs_of(codes: np.ndarray, row: np.ndarray, min_words: int = MIN_WORDS) -> t
     length = i + d + factors.ahead(i, i + d) - start
     good = length >= np.maximum(min_words, 2 * d)
     start, length, d = start[good], length[good], d[good]
-    order = np.lexsort((d, length, start))
-    start, length, d = start[order], length[order], d[order]
+    ranks = np.lexsort((d, length, start))
+    start, length, d = start[ranks], length[ranks], d[ranks]
     new = np.ones(len(start), bool)
     new[1:] = (np.diff(start) > 0) | (np.diff(length) > 0)
     start, length, d = start[new], length[new], d[new]
-    order = np.lexsort((d, start))
-    return start[order], length[order], d[order]
+    ranks = np.lexsort((d, start))
+    return start[ranks], length[ranks], d[ranks]
 
 
 def planted(ids: list, bounds: np.ndarray) -> np.ndarray:

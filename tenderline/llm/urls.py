@@ -1,6 +1,6 @@
 """URL filter: rules by host and path, then the ratio of two character language models.
 
-Urls that a rule decides are the training text: an order-5 Markov model of the accepted ones and one of the rejected
+Urls that a rule decides are the training text: a fifth-degree Markov model of the accepted ones and one of the rejected
 ones. A character's probability starts from the model of no context and is refined by each longer context that was
 seen (Dirichlet smoothing), so rare contexts lean on shorter ones. The score is the difference of the log-likelihoods
 divided by the number of characters, less the threshold at which the balanced error on the training urls is least;
