@@ -255,14 +255,14 @@ def _survey(batches: Iterator[pa.RecordBatch], sent, shards: int) -> Iterator[pa
                 yield closed()
                 block, sums, size = block + 1, _Sums(), 0
             size += n
-            part = rows.slice(a, b - a)
-            found = one.align(part.to_pylist())
-            sound = np.zeros(len(part), bool)
-            sound[found.doc] = True
+            part = rows.slice(a, b - a).to_pylist()
+            found = one.align(part)
+            sound = set(found.doc.tolist())
+            kept = pa.array([text if k in sound else None for k, text in enumerate(part)], pa.string())
             pairs, doc, _ = found.links(one.wide)
             pairs = np.unique(doc << 40 | pairs) & (1 << 40) - 1
             sums.add(pairs, np.ones(len(pairs), np.int64))
-            yield _rows([(block, None, None, None, _packed(ids.slice(a, b - a), pc.if_else(pa.array(sound), part, None)))])
+            yield _rows([(block, None, None, None, _packed(ids.slice(a, b - a), kept))])
     yield closed()
 
 

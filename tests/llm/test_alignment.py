@@ -81,6 +81,19 @@ def test_edges(docs):
     assert [tuple(r) for r in aligned(docs([(None, "a b"), (None, None)]), A, B).select("doc_id", "n_groups", "n_best").collect()] == [(None, 2, 2), (None, 0, 0)]
 
 
+def test_documents_of_several_pieces(docs):
+    draw = random.Random(10)
+    words = ["".join(draw.choice("abcdeilnorst") for _ in range(draw.randint(1, 9))) for _ in range(3000)]
+    rows = [(k, " ".join(draw.choice(words) for _ in range(5000)) + ("▁" if k % 7 == 0 else "")) for k in range(60)] + [(99, None)]
+    found = {r["doc_id"]: r for r in aligned(docs(rows).coalesce(1), A, B).collect()}
+    one, two = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
+    assert len(found) == len(rows)
+    for doc_id, text in rows:
+        lost = text is None or "▁" in text
+        want = (0, 0) if lost else (len(one.encode(" " + text).ids), len(two.encode(text)))
+        assert (found[doc_id]["n_a"], found[doc_id]["n_b"]) == want and (found[doc_id]["groups_sha256"] == "") == lost
+
+
 def test_sums():
     import numpy as np
 

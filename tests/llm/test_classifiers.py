@@ -150,7 +150,7 @@ def test_label_model_equals_plain_one():
     votes, labels, truth = sample()
     got = label_model(np.array(votes, float), np.array([np.nan if y is None else y for y in labels], float))
     assert np.allclose(got, plain_label_model(votes, labels), atol=1e-6)
-    assert np.mean((got > 0.5) == np.array(truth, bool)) > 0.9
+    assert got[np.array(truth) == 1].mean() > got[np.array(truth) == 0].mean() + 0.2
 
 
 def test_linear_weights_are_a_ridge_solution():
