@@ -52,7 +52,7 @@ def shapes(tables) -> dict[str, float]:
         bucket = {name: totals.DASHBOARD_BUCKETS[name]}
         return totals.per_pair(
             tables,
-            totals.order_facts(tables, bucket, WHOLE, need_items=True),
+            totals.purchase_facts(tables, bucket, WHOLE, need_items=True),
             bucket,
             Buyers(excluded=SAMPLE.excluded),
         )
@@ -63,7 +63,7 @@ def shapes(tables) -> dict[str, float]:
     found["r12_one_pass"] = timed(
         lambda: totals.per_pair(
             tables,
-            totals.order_facts(tables, totals.DASHBOARD_BUCKETS, WHOLE, need_items=True),
+            totals.purchase_facts(tables, totals.DASHBOARD_BUCKETS, WHOLE, need_items=True),
             totals.DASHBOARD_BUCKETS,
             Buyers(excluded=SAMPLE.excluded),
         )

@@ -14,13 +14,15 @@ from tenderline.operators.joins import semi
 
 @dataclass(frozen=True)
 class Buyers:
-    excluded: tuple[int, ...] = ()
-    only: tuple[int, ...] | None = None
+    """Id lists are tuples or frames of one column; a frame may have any length."""
+
+    excluded: tuple[int, ...] | DataFrame = ()
+    only: tuple[int, ...] | DataFrame | None = None
     split: bool = False
 
     def keep(self, df: DataFrame, column: str = "customer_id") -> DataFrame:
         """Rows of the covered customers; a missing id never passes an id list."""
-        if self.excluded:
+        if isinstance(self.excluded, DataFrame) or self.excluded:
             df = drop_ids(df, column, self.excluded)
         if self.only is not None:
             df = keep_ids(df, column, self.only)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +40,17 @@ def trailing_weeks(as_of: date, weeks: int = 4) -> list[tuple[date, date]]:
     return [(end - timedelta(days=7), end) for end in ends]
 
 
-def age_in_days(at: Column, as_of: date) -> Column:
-    return F.datediff(F.lit(as_of), at)
+def moment(as_of: date | datetime, zone: str = "UTC") -> Column:
+    """A day (its midnight) or an instant, on the clock of ``zone``, to compare with zone-less times and days."""
+    if not isinstance(as_of, datetime):
+        return F.lit(as_of)
+    if as_of.tzinfo is not None:
+        as_of = as_of.astimezone(ZoneInfo(zone)).replace(tzinfo=None)
+    return F.to_timestamp_ntz(F.lit(as_of.isoformat(" ", "microseconds")))
+
+
+def age_in_days(at: Column, as_of: date | datetime) -> Column:
+    return F.datediff(moment(as_of), at)
 
 
 def seconds_between(start: Column, end: Column) -> Column:

@@ -21,13 +21,13 @@ def members_of_groups(df: DataFrame, key: str, ident: str, low: int, high: int)
 
 
 def concat_sorted(value: Column, separator: str = " / ") -> Column:
-    """Aggregate: the distinct values in order, joined; null when there is none."""
+    """Aggregate: the distinct values sorted, joined; null when there is none."""
     values = F.array_sort(F.collect_set(value))
     return F.when(F.size(values) > 0, F.array_join(values, separator))
 
 
 def concat_repeated(df: DataFrame, keys: Sequence[str], value: str, times: str, separator: str = " / ") -> DataFrame:
-    """Like a plain text aggregate over rows that occur ``times`` times, in order.
+    """Like a plain text aggregate over rows that occur ``times`` times, sorted.
 
     Equal values are counted first, so the buffer of a group holds each distinct value once.
     """

@@ -33,6 +33,19 @@ def null_safe_join(
     return joined.drop(*[f"{k}__r" for k in [*keys, *null_safe]])
 
 
+def left_join_spread(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join whose rows without a key are dealt over all tasks instead of meeting in one.
+
+    A hash of the whole row is a second join column where the key is missing, zero elsewhere; the right side has zero
+    everywhere, written so that the optimizer can't fold it into a constant and take the column out of the
+    hash. One scan of each side, and no row moves that a plain join would not move.
+    """
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*left.columns)).otherwise(F.lit(0))
+    one = left.withColumn("spread__", spread)
+    two = right.withColumn("spread__", F.pmod(F.xxhash64(key), F.lit(1)))
+    return one.join(two, [key, "spread__"], "left").drop("spread__")
+
+
 def either_key_join(
     left: DataFrame,
     right: DataFrame,

@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tenderline.functions.buyers import Buyers
 from tenderline.functions.dates import Period
@@ -26,6 +27,8 @@ class Params:
     excluded: tuple[int, ...] = ()
     listed: tuple[int, ...] | None = None
     excluded_mails: tuple[str, ...] = ()
+    # Lists of single reports: rows of (report, role, customer_id) with the roles "excluded" and "listed".
+    lists: DataFrame | None = None
 
     @property
     def network(self) -> Buyers:
@@ -36,6 +39,13 @@ class Params:
         """The by-customer jobs cover the listed customers (all when None), without exclusions."""
         return Buyers(only=self.listed, split=True)
 
+    def of(self, report: str, declared: frozenset[str]) -> Params:
+        """The parameters as ``report`` takes them: the lists it declares come from the table of lists."""
+        if self.lists is None:
+            return self
+        own = lambda role: self.lists.where((F.col("report") == report) & (F.col("role") == role)).select("customer_id")
+        return replace(self, **{role: own(role) for role in declared})
+
 
 Query = Callable[[Tables, Params], DataFrame]
 
@@ -102,6 +112,40 @@ OPERATORS: dict[str, Query] = {
 
 QUERIES: dict[str, Query] = {**REPORTS, **BY_CUSTOMER, **OPERATORS}
 
+EXCLUDED, LISTED = frozenset({"excluded"}), frozenset({"listed"})
+# Which lists a report takes from a table of lists; all others keep the common parameters.
+LISTS: dict[str, frozenset[str]] = {
+    **{name: EXCLUDED for name in REPORTS if name not in ("r08_lines_by_directorate", "r09_duplicate_suppliers", "r10_weekly_matrix")},
+    "r10_weekly_matrix": LISTED,
+    **{name: LISTED for name in BY_CUSTOMER},
+    "r14_by_customer": LISTED | EXCLUDED,
+    "r19_by_customer": LISTED | EXCLUDED,
+}
+
+
+def run_report(name: str, t: Tables, params: Params) -> DataFrame:
+    """A report with its own lists."""
+    return QUERIES[name](t, params.of(name, LISTS.get(name, frozenset())))
+
+
+def _half_of_the_customers(t: Tables, report: str) -> DataFrame:
+    """A list derived from the customers, above 500 ids from 1,000 customers on; nobody is excluded but the common three."""
+    some = t.customer.where(F.col("id") % 10 < 5).select(F.lit("listed").alias("role"), F.col("id").alias("customer_id"))
+    none = t.customer.where(F.col("id").isin(7, 77, 777)).select(F.lit("excluded").alias("role"), F.col("id").alias("customer_id"))
+    return some.unionByName(none).withColumn("report", F.lit(report))
+
+
+def _listed(name: str) -> Query:
+    return lambda t, p: run_report(name, t, replace(p, lists=_half_of_the_customers(t, name)))
+
+
+# Reports with lists of their own, and newest events where details are missing.
+MORE: dict[str, Query] = {
+    **{f"{name}_listed": _listed(name) for name in ("r10_weekly_matrix", *BY_CUSTOMER)},
+    "op_latest_state_log": lambda t, p: operator_queries.latest_state(operator_queries.without_some_details(t)),
+    "op_latest_any_type_log": lambda t, p: operator_queries.latest_any_type(operator_queries.without_some_details(t)),
+}
+
 # The parameters of the registered queries.
 SAMPLE = Params(
     month_as_of=date(2001, 7, 15),

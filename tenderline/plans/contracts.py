@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderline.functions.buyers import Buyers
-from tenderline.functions.dates import Period
+from tenderline.functions.dates import Period, moment
 from tenderline.functions.labels import ADVANCE_PAYMENT_TYPES, CONTRACT_STATES, SUPPLIER_STATES, label
 from tenderline.operators.groups import concat_repeated, concat_sorted
 from tenderline.operators.joins import null_safe_join
@@ -28,8 +28,9 @@ def payment_text() -> Column:
     return label(F.col("payment_type"), ADVANCE_PAYMENT_TYPES).alias("payment_type")
 
 
-def is_active(as_of: date) -> Column:
-    return F.col("to_date").isNull() | (F.col("to_date") >= F.lit(as_of))
+def is_active(as_of: date | datetime) -> Column:
+    """Open-ended, or not ended before the day or instant; a contract ends at the midnight its last day begins with."""
+    return F.col("to_date").isNull() | (F.col("to_date") >= moment(as_of))
 
 
 def advance_contracts(t: Tables, as_of: date, buyers: Buyers = Buyers()) -> DataFrame:

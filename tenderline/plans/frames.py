@@ -62,7 +62,7 @@ def items(t: Tables, scope: Scope = WHOLE) -> DataFrame:
     return within(t.order_item.withColumnRenamed("fk_order_id", "order_id"), t, scope)
 
 
-def order_amounts(t: Tables, scope: Scope = WHOLE, count_items: bool = False) -> DataFrame:
+def purchase_amounts(t: Tables, scope: Scope = WHOLE, count_items: bool = False) -> DataFrame:
     """order_id, amount, lines and, on request, the number of distinct item ids."""
     if t.holds("shared_amounts"):
         return within(t.shared_amounts, t, scope)
@@ -102,6 +102,19 @@ def newest_events(t: Tables, view: str, scope: Scope = WHOLE, flagged: bool = Fa
     return found.withColumn("is_newest", F.col("at") == F.col("newest_of_any")).drop("newest_of_any") if flagged else found
 
 
+def state_events(t: Tables, rows: DataFrame) -> DataFrame:
+    """All state changes of the purchases in ``rows`` (order_id and more): ``at``, ``state``, and whether its details are told."""
+    if not t.reads_log("order_states"):
+        return rows.join(t.order_states, "order_id").withColumn("is_told", F.lit(True))
+    kind = KINDS["order_states"]
+    log = t.events.where(F.col("event_type") == kind.event_type).select(
+        "id", F.col("event_driven_id").alias("order_id"), F.col("created_when").alias("at")
+    )
+    details = event_details(t, kind).withColumnRenamed("event_id", "id").withColumn("is_told", F.lit(True))
+    found = rows.join(log, "order_id").join(details, "id", "left").drop("id")
+    return found.withColumn("is_told", F.coalesce("is_told", F.lit(False)))
+
+
 def latest_states(t: Tables, scope: Scope = WHOLE) -> DataFrame:
     """order_id, state_at, state: all rows at the newest state change."""
     if t.holds("shared_states"):
@@ -179,7 +192,7 @@ def creators(t: Tables, how: str = "inner") -> DataFrame:
     return users.join(staff, "user_id", how).select("created_by", *PERSON)
 
 
-def order_rows(
+def purchase_rows(
     t: Tables,
     buyers: Buyers,
     period: Period | None = None,
@@ -199,7 +212,7 @@ def order_rows(
     scope = Scope(period, buyers.only)
     rows = purchases(t, scope)
     if amounts:
-        rows = rows.join(order_amounts(t, scope, count_items), "order_id")
+        rows = rows.join(purchase_amounts(t, scope, count_items), "order_id")
     rows = rows.join(latest_states(t, scope) if states is None else states, "order_id")
     sides = parties(t, buyers, suppliers)
     rows = rows.join(sides if terms is None else sides.where(terms), "contract_id")

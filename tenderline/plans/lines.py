@@ -11,12 +11,13 @@ from tenderline.functions.buyers import Buyers
 from tenderline.functions.dates import Period
 from tenderline.functions.labels import ORDER_STATES, label, tax_label
 from tenderline.functions.numbers import line_amount
+from tenderline.operators.joins import left_join_spread
 from tenderline.plans.frames import (
     PERSON,
     Scope,
     grouped,
     items,
-    order_rows,
+    purchase_rows,
     product_categories,
     product_categories_direct,
 )
@@ -56,7 +57,7 @@ def zero_vat_lines(t: Tables, as_of: date, buyers: Buyers = Buyers()) -> DataFra
     period = Period.previous_month(as_of)
     untaxed = product_categories(t).where(F.col("tax_percent") == 0)
     lines = _lines(t, Scope(period, buyers.only)).join(untaxed, "entry_id")
-    rows = order_rows(t, buyers, period, amounts=False).join(lines, "order_id")
+    rows = purchase_rows(t, buyers, period, amounts=False).join(lines, "order_id")
     return _report(rows, buyers.keys, F.col("order_number"), with_contract_id=False)
 
 
@@ -64,6 +65,6 @@ def lines_by_directorate(t: Tables, as_of: date) -> DataFrame:
     """Last month's lines of every mapped customer, one directorate value per output part."""
     period = Period.previous_month(as_of)
     mapped = t.directorate.select("customer_id", "directorate").distinct()
-    lines = _lines(t, Scope(period)).join(product_categories_direct(t), "entry_id", "left")
-    rows = order_rows(t, Buyers(), period, amounts=False).join(mapped, "customer_id").join(lines, "order_id")
+    lines = left_join_spread(_lines(t, Scope(period)), product_categories_direct(t), "entry_id")
+    rows = purchase_rows(t, Buyers(), period, amounts=False).join(mapped, "customer_id").join(lines, "order_id")
     return _report(rows, ["directorate"], F.col("order_number").cast("bigint"), with_contract_id=True)

@@ -22,7 +22,7 @@ from tenderline.plans.frames import (
     contracts,
     latest_states,
     latest_states_flagged,
-    order_amounts,
+    purchase_amounts,
     purchases,
     supplier_agents,
     supplier_categories,
@@ -30,7 +30,7 @@ from tenderline.plans.frames import (
 from tenderline.plans.orders import payment_changes, payment_events
 from tenderline.plans.shares import category_purchases
 from tenderline.plans.suppliers import creator_companies, user_staff
-from tenderline.plans.totals import DASHBOARD_BUCKETS, order_facts
+from tenderline.plans.totals import DASHBOARD_BUCKETS, purchase_facts, weekly_facts
 from tenderline.session import scratch_folder
 from tenderline.sources.sinks import with_name, write_by
 from tenderline.sources.tables import Tables
@@ -40,6 +40,11 @@ def latest_state(t: Tables) -> DataFrame:
     return latest_states(t)
 
 
+def without_some_details(t: Tables) -> Tables:
+    """The same log with a seventh of the state changes left without their details."""
+    return t.replace(order_state_event=t.order_state_event.where("event_id % 7 <> 3"))
+
+
 def latest_any_type(t: Tables) -> DataFrame:
     """Newest events of any type that are state changes."""
     newest = latest_states_flagged(t).where("is_newest")
@@ -59,14 +64,15 @@ def _with_customer(t: Tables, rows: DataFrame) -> DataFrame:
 
 
 def weekly(t: Tables, as_of: date) -> DataFrame:
-    facts = _with_customer(t, purchases(t).join(order_amounts(t), "order_id"))
+    facts, bought = weekly_facts(t, as_of)
     return weekly_matrix(
-        facts, ["customer_id"], "created_when", as_of, counts=["orders"], sums={"amount": F.col("amount")}
+        _with_customer(t, facts), ["customer_id"], "created_when", as_of, counts=["orders"],
+        sums={"amount": F.col("amount")}, all_keys=_with_customer(t, bought),
     )
 
 
 def status_buckets(t: Tables) -> DataFrame:
-    facts = _with_customer(t, order_facts(t, DASHBOARD_BUCKETS, WHOLE, need_items=True))
+    facts = _with_customer(t, purchase_facts(t, DASHBOARD_BUCKETS, WHOLE, need_items=True))
     return bucket_counts(facts, ["customer_id"], list(DASHBOARD_BUCKETS))
 
 
@@ -132,7 +138,7 @@ def code_labels(t: Tables) -> DataFrame:
 
 def partitioned_export(t: Tables) -> DataFrame:
     """Purchases of mapped customers written one folder per directorate, then read back."""
-    rows = _with_customer(t, purchases(t).join(order_amounts(t), "order_id"))
+    rows = _with_customer(t, purchases(t).join(purchase_amounts(t), "order_id"))
     mapped = rows.join(t.directorate.distinct(), "customer_id").select(
         "directorate", "customer_id", "order_id", "amount"
     )

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tenderline.plans.catalog import BY_CUSTOMER, QUERIES, REPORTS, Params
 from tenderline.plans.frames import (
     latest_states_flagged,
-    order_amounts,
+    purchase_amounts,
     product_categories,
     purchases,
 )
@@ -46,7 +46,7 @@ def share_frames(spark: SparkSession, t: Tables, buckets: int = 200, folder: str
     product_categories(t).write.mode("overwrite").parquet(categories)
     return t.replace(
         shared_purchases=bucketed("purchases", purchases(t)),
-        shared_amounts=bucketed("amounts", order_amounts(t, count_items=True)),
+        shared_amounts=bucketed("amounts", purchase_amounts(t, count_items=True)),
         shared_states=bucketed("states", latest_states_flagged(t)),
         shared_categories=spark.read.schema("entry_id bigint, tax_percent int, category string").parquet(categories),
     )

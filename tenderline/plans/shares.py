@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tenderline.functions.buyers import Buyers
 from tenderline.functions.dates import Period, seconds_between
 from tenderline.functions.numbers import line_amount, mean
+from tenderline.operators.joins import left_join_spread
 from tenderline.operators.shares import join_totals, read_whole, share, with_grand_total, with_percents
 from tenderline.plans.frames import (
     Scope,
@@ -138,7 +139,7 @@ def supply_cycles(t: Tables, since: date, buyers: Buyers = Buyers()) -> DataFram
     )
     values = ["price", "quantity", "amount"]
     reduced = (
-        lines.join(product_categories(t).select("entry_id", "category"), "entry_id", "left")
+        left_join_spread(lines, product_categories(t).select("entry_id", "category"), "entry_id")
         .groupBy("order_id", "product_name", "category")
         .agg(
             F.count(F.lit(1)).alias("n"),

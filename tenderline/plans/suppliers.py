@@ -19,7 +19,7 @@ from tenderline.plans.frames import (
     grouped,
     latest_registrations,
     latest_supplier_states,
-    order_rows,
+    purchase_rows,
     supplier_agents,
 )
 from tenderline.sources.tables import Tables
@@ -104,7 +104,7 @@ def duplicate_suppliers(t: Tables, excluded_mails: Sequence[str] = ()) -> DataFr
 def orders_of_duplicate_suppliers(t: Tables, as_of: date, buyers: Buyers = Buyers()) -> DataFrame:
     """Last month's purchases from suppliers registered more than once."""
     stated = semi(duplicate_agents(t), t.supplier_states, "supplier_id").distinct()
-    rows = order_rows(t, buyers, Period.previous_month(as_of), suppliers=stated)
+    rows = purchase_rows(t, buyers, Period.previous_month(as_of), suppliers=stated)
     keys = [
         *buyers.keys, "order_number", "created_when", "customer_name", *PERSON, "supplier_name",
         "supplier_inn", "supplier_kpp", "state", "state_at",

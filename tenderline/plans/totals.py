@@ -14,18 +14,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderline.functions.buyers import Buyers
-from tenderline.functions.dates import Period
+from tenderline.functions.dates import Period, trailing_weeks
 from tenderline.functions.numbers import none_if_zero, percent
 from tenderline.operators.buckets import bucket_hits, bucket_measures
+from tenderline.operators.joins import semi
 from tenderline.operators.shares import read_whole
 from tenderline.operators.weekly import weekly_matrix
 from tenderline.plans.frames import (
     Scope,
     contracts,
     customer_names,
+    items,
     latest_states_flagged,
     latest_supplier_states,
-    order_amounts,
+    purchase_amounts,
     purchases,
     supplier_agents,
 )
@@ -75,14 +77,14 @@ UNCLOSED_BUCKETS = {
 }
 
 
-def order_facts(t: Tables, buckets: Mapping[str, Bucket], scope: Scope, need_items: bool) -> DataFrame:
+def purchase_facts(t: Tables, buckets: Mapping[str, Bucket], scope: Scope, need_items: bool) -> DataFrame:
     """One row per purchase: amount, lines and bucket hits, all co-partitioned by purchase."""
     tests = {name: bucket.test() for name, bucket in buckets.items()}
     hits = bucket_hits(latest_states_flagged(t, scope), "order_id", tests)
     return (
         purchases(t, scope)
         .select("order_id", "contract_id")
-        .join(order_amounts(t, scope), "order_id", "inner" if need_items else "left")
+        .join(purchase_amounts(t, scope), "order_id", "inner" if need_items else "left")
         .join(hits, "order_id", "left")
     )
 
@@ -155,7 +157,7 @@ def customer_totals(
     Customers of one name merge when all their blocks agree. ``distinct=False`` counts closed and
     cancelled purchases per tied event, and sole-trader purchases per line.
     """
-    facts = order_facts(t, FINISHED_BUCKETS, Scope(period, buyers.only), need_items=False)
+    facts = purchase_facts(t, FINISHED_BUCKETS, Scope(period, buyers.only), need_items=False)
     pairs = per_pair(t, facts, FINISHED_BUCKETS, buyers)
     weights = supplier_weights(t)
     names = customer_names(t).select("customer_id", "customer_name")
@@ -195,7 +197,7 @@ def _bucket_totals(
     t: Tables, buckets: Mapping[str, Bucket], buyers: Buyers, period: Period | None
 ) -> DataFrame:
     """Per customer and name: totals and bucket blocks. Same-named entities of a customer add up."""
-    facts = order_facts(t, buckets, Scope(period, buyers.only), need_items=True)
+    facts = purchase_facts(t, buckets, Scope(period, buyers.only), need_items=True)
     pairs = per_pair(t, facts, buckets, buyers)
     measures = []
     for name in buckets:
@@ -251,14 +253,25 @@ def unclosed_summary(t: Tables, buyers: Buyers = Buyers()) -> DataFrame:
     ).orderBy(F.desc_nulls_first("orders"), *[F.asc_nulls_last(c) for c in (*buyers.keys, "customer_name")])
 
 
+def weekly_facts(
+    t: Tables, as_of: date, buyers: Buyers = Buyers(), weeks: int = 4
+) -> tuple[DataFrame, DataFrame]:
+    """Purchases with amounts of the trailing weeks alone, and the contracts that ever had one, by their keys only."""
+    recent = Scope(Period(trailing_weeks(as_of, weeks)[0][0], as_of), buyers.only)
+    facts = purchases(t, recent).join(purchase_amounts(t, recent), "order_id")
+    ever = Scope(customers=buyers.only)
+    filled = items(t, ever).select("order_id").distinct()
+    bought = semi(purchases(t, ever).select("order_id", "contract_id"), filled, "order_id")
+    return facts, bought.select("contract_id").distinct()
+
+
 def weekly_activity(t: Tables, as_of: date, buyers: Buyers = Buyers(), weeks: int = 4) -> DataFrame:
     """Four trailing weeks per customer name: purchases and amounts, all and post factum.
 
     Every purchase counts once per state event of its supplier, and in the post-factum measures
     once per latest post-factum state of its supplier.
     """
-    scope = Scope(customers=buyers.only)
-    facts = purchases(t, scope).join(order_amounts(t, scope), "order_id")
+    facts, bought = weekly_facts(t, as_of, buyers, weeks)
     sides = contracts(t, buyers).select("contract_id", "customer_id", "supplier_id")
     pairs = weekly_matrix(
         facts.join(sides, "contract_id"),
@@ -268,6 +281,7 @@ def weekly_activity(t: Tables, as_of: date, buyers: Buyers = Buyers(), weeks: in
         counts=["orders"],
         sums={"amount": F.col("amount")},
         weeks=weeks,
+        all_keys=bought.join(sides, "contract_id"),
     )
     events = t.supplier_states.groupBy("supplier_id").agg(F.count(F.lit(1)).alias("n_events"))
     postfactum = latest_supplier_states(t).groupBy("supplier_id").agg(

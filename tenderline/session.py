@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -42,9 +43,11 @@ def local_session(cpus: int = 8, app: str = "tenderline") -> SparkSession:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A fresh path under the folder the cluster shares; a local one only where none is set."""
+    """A fresh path under the folder the cluster shares; a folder of its own only for a session in one process."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="tenderline-")
         spark.sparkContext.setCheckpointDir(shared)
     return os.path.join(shared, uuid.uuid4().hex)

@@ -12,11 +12,12 @@ the files it needs. Besides the stored tables it offers the typed views of the e
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
 
@@ -147,36 +148,65 @@ def read_parquet(spark: SparkSession, root: str) -> Tables:
     return Tables({**makers, **EVENT_VIEWS})
 
 
-# Columns the large tables are split on when they are read over JDBC.
-SPLIT_COLUMNS = {"order_s": "id", "order_item": "id", "contract": "id", "events": "id"}
+# Columns the large tables are split on when they are read over JDBC; details share the ids of the event log.
+SPLIT_COLUMNS = {
+    "order_s": "id", "order_item": "id", "contract": "id", "events": "id",
+    **{kind.child: "event_id" for kind in KINDS.values()},
+}
+
+
+def bounds_query() -> str:
+    """One statement for the lowest and highest id of every id space that large tables are split on."""
+    own = [name for name, column in SPLIT_COLUMNS.items() if column == "id"]
+    return " UNION ALL ".join(f"SELECT '{name}' AS name, min(id) AS low, max(id) AS high FROM {name}" for name in own)
+
+
+def split_plan(rows: Iterable[tuple[str, int | None, int | None]]) -> dict[str, tuple[int, int]]:
+    """(lowest, highest) id by table, from the rows of ``bounds_query``; an empty table is not split."""
+    known = {name: (int(low), int(high)) for name, low, high in rows if low is not None}
+    if "events" in known:
+        known |= {kind.child: known["events"] for kind in KINDS.values()}
+    return known
+
+
+def jdbc_options(
+    name: str, url: str, properties: Mapping[str, str], bounds: Mapping[str, tuple[int, int]], partitions: int
+) -> dict[str, str]:
+    """Reader options of one table: in parallel id ranges where its bounds are known, else in one read."""
+    options = {**properties, "url": url, "dbtable": name}
+    if name in SPLIT_COLUMNS and name in bounds:
+        low, high = bounds[name]
+        options |= {
+            "partitionColumn": SPLIT_COLUMNS[name], "lowerBound": str(low), "upperBound": str(high),
+            "numPartitions": str(max(1, min(partitions, high - low + 1))),
+        }
+    return options
+
+
+def cast_to(df: DataFrame, schema: str) -> DataFrame:
+    """The columns of ``schema`` in its types and sequence, whatever types the database hands over."""
+    fields = T.StructType.fromDDL(schema).fields
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def read_jdbc(
     spark: SparkSession,
     url: str,
     properties: Mapping[str, str],
-    bounds: Mapping[str, tuple[int, int]],
+    bounds: Mapping[str, tuple[int, int]] | None = None,
     partitions: int = 64,
 ) -> Tables:
     """Read from the operational database, the large tables in parallel id ranges.
 
-    ``bounds`` gives (lowest, highest) id per split table; tables without bounds come in one read.
-    Credentials belong in ``properties`` and are never stored here.
+    ``bounds`` gives (lowest, highest) id per split table; without it one query asks for all of them. Every
+    table has the columns and types of ``SCHEMAS``. Credentials belong in ``properties`` and are never stored here.
     """
+    if bounds is None:
+        asked = spark.read.format("jdbc").options(**properties, url=url, query=bounds_query()).load()
+        bounds = split_plan(tuple(r) for r in asked.collect())
 
     def reader(name: str) -> Callable[[Tables], DataFrame]:
-        def make(_: Tables) -> DataFrame:
-            options = dict(properties, url=url, dbtable=name)
-            if name in SPLIT_COLUMNS and name in bounds:
-                low, high = bounds[name]
-                options.update(
-                    partitionColumn=SPLIT_COLUMNS[name],
-                    lowerBound=str(low),
-                    upperBound=str(high),
-                    numPartitions=str(partitions),
-                )
-            return spark.read.format("jdbc").options(**options).load()
-
-        return make
+        options = jdbc_options(name, url, properties, bounds, partitions)
+        return lambda _: cast_to(spark.read.format("jdbc").options(**options).load(), SCHEMAS[name])
 
     return Tables({**{name: reader(name) for name in SCHEMAS}, **EVENT_VIEWS})

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tenderline.plans import orders
 from tenderline.plans.catalog import QUERIES, SAMPLE
-from tenderline.plans.frames import Scope, latest_states, order_amounts
+from tenderline.plans.frames import Scope, latest_states, purchase_amounts
 from tenderline.plans.shares import category_purchases, supplier_share_by_customer
 from tenderline.functions.buyers import Buyers
 from tests.conftest import rows
@@ -63,7 +63,7 @@ def test_period_reaches_the_scan(small, capsys):
 
 
 def test_amounts_read_only_their_columns(small):
-    plan = plan_of(order_amounts(small))
+    plan = plan_of(purchase_amounts(small))
     assert "l_quantity" in plan and "p_name" not in plan and "p_type" not in plan
 
 
@@ -79,7 +79,7 @@ def test_one_aggregate_serves_rows_and_totals(small):
 def skewed(spark, small):
     """A third of all lines and events in one purchase, a third of the purchases in one contract."""
     n = 3000
-    order = spark.range(n).selectExpr(
+    deal = spark.range(n).selectExpr(
         "id", "cast(id as string) as order_number", "timestamp_ntz'2001-06-01' as created_when",
         "'user1' as created_by", "if(id % 3 = 0, 200000000L, 200000000L + id % 400) as fk_contract_id",
         "cast(null as decimal(18,2)) as customer_payment_sum",
@@ -94,7 +94,7 @@ def skewed(spark, small):
         "timestampadd(HOUR, cast(pmod(id * 37, 1000) as int), timestamp_ntz'2001-06-01') as at",
         "element_at(array('NEW', 'EXECUTION', 'ORDER_CANCELED'), cast(id % 3 + 1 as int)) as state",
     )
-    return small.replace(order_s=order, order_item=item, order_states=states)
+    return small.replace(order_s=deal, order_item=item, order_states=states)
 
 
 SMALL_PARTS = dict(
@@ -111,8 +111,8 @@ def test_latest_states_of_a_dominant_purchase(conf, skewed):
     conf(**SMALL_PARTS)
     newest = {}
     events = [tuple(r) for r in skewed.order_states.collect()]
-    for order, moment, _ in events:
-        newest[order] = max(moment, newest.get(order, moment))
+    for deal, moment, _ in events:
+        newest[deal] = max(moment, newest.get(deal, moment))
     want = Counter(e for e in events if e[1] == newest[e[0]])
     assert Counter(tuple(r) for r in latest_states(skewed).collect()) == want
 
@@ -127,13 +127,13 @@ def test_shares_with_a_dominant_purchase_contract_and_missing_product(conf, skew
     owner = {r["id"]: contract.get(r["fk_contract_id"]) for r in skewed.order_s.collect()}
     seen, total = defaultdict(set), Counter()
     for r in skewed.order_item.collect():
-        order = r["fk_order_id"]
-        if not ties[order] or owner[order] is None or (r["price"] == 0 and r["quantity"] == 0):
+        deal = r["fk_order_id"]
+        if not ties[deal] or owner[deal] is None or (r["price"] == 0 and r["quantity"] == 0):
             continue
-        customer, supplier = owner[order]
+        customer, supplier = owner[deal]
         key = (customer, group.get(r["fk_supplier_product_id"]), supplier)
-        seen[key].add(order)
-        total[key] += r["price"] * r["quantity"] * ties[order]
+        seen[key].add(deal)
+        total[key] += r["price"] * r["quantity"] * ties[deal]
     assert result == {k: (len(v), total[k]) for k, v in seen.items()}
     assert "skew=true" in plan_of(got)
 
@@ -145,7 +145,7 @@ def orders_categories(tables):
 
 
 def test_amounts_are_combined_before_the_shuffle(skewed):
-    plan = plan_of(order_amounts(skewed))
+    plan = plan_of(purchase_amounts(skewed))
     assert plan.index("HashAggregate") < plan.index("Exchange") < plan.rindex("partial_sum")
-    assert rows(order_amounts(skewed).where("order_id = 5").select("lines"))[0][0] >= 6000
-    assert order_amounts(skewed).agg(F.sum("lines")).first()[0] == 18000
+    assert rows(purchase_amounts(skewed).where("order_id = 5").select("lines"))[0][0] >= 6000
+    assert purchase_amounts(skewed).agg(F.sum("lines")).first()[0] == 18000

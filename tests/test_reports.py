@@ -67,11 +67,11 @@ def test_same_named_customers_merge_only_with_equal_blocks(spark, small):
          (13, "c", 3, 901, "FULL", None, None, None, None)],
         SCHEMAS["contract"],
     )
-    order = spark.createDataFrame([(i, str(i), None, "user0", 10 + i, None) for i in (1, 2, 3)], SCHEMAS["order_s"])
+    bought = spark.createDataFrame([(i, str(i), None, "user0", 10 + i, None) for i in (1, 2, 3)], SCHEMAS["order_s"])
     item = spark.sql("select id, id as fk_order_id, cast(2 as decimal(18,2)) as price, cast(3 as decimal(10,0)) as quantity,"
                      " 'x' as product_name, id as fk_supplier_product_id from values (1L), (2L), (3L) as v(id)")
     activity = spark.sql("select 3L as order_id, timestamp_ntz'2001-01-01' as at, 'ORDER_CLOSED' as state")
-    tables = small.replace(agent=agents, contract=deal, order_s=order, order_item=item, order_activity=activity)
+    tables = small.replace(agent=agents, contract=deal, order_s=bought, order_item=item, order_activity=activity)
     got = [(r["orders"], r["amount"], r["closed_orders"], r["suppliers"]) for r in totals.customer_totals(tables).collect()]
     assert sorted(got, key=str) == [(1, 6, 1, 1), (2, 12, None, 1)]
 
