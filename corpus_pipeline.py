@@ -1,4 +1,10 @@
-"""A training-data pipeline: each stage works on what the one before kept, written as Parquet in between."""
+"""A training-data pipeline: each stage works on what the one before kept, written as Parquet in between.
+
+Defined results: a null text is empty; empty texts are equal, so one of them stays, and it has no tokens; a null doc_id counts
+as largest among equal texts and is never a near copy; without labels of both kinds nothing is toxic; an empty benchmark
+drops nothing; further columns of documents, whatever their names, stay until the last stage; an empty table gives an empty
+result.
+"""
 
 from __future__ import annotations
 
