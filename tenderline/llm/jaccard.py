@@ -1,10 +1,9 @@
 """Exact set-similarity join on word shingles, with skipped lists and answers taken over from similar sets.
 
-Index. Equal sets are one class. A set's shingles are ordered from rare to frequent: a shingle is at most as frequent as its
-rarest word, and words are counted over all documents in a sketch of fixed size. Text has few frequent words and they stand out
-at any size of the input, while a sketch of the shingles themselves fills up with those that occur once (any sequence
-would give the same links). A set's first |s| - ceil(t |s|) + 1 shingles go to the index
-lists, with the set's size and the shingle's position. Two sets that are similar to t or more meet in a list.
+Index. Equal sets are one class. A set's shingles are ranked from rare to frequent (counts of all documents in a sketch of
+fixed size: what many documents share stands out from its noise at any size of the input; any ranking would give the same
+links) and its first |s| - ceil(t |s|) + 1 shingles go to the index lists, with the set's size and the shingle's
+position. Two sets that are similar to t or more meet in a list.
 
 Skipping by position. Sets that meet at positions p and q share at most min(p, q) shingles before and
 min(|x| - p, |y| - q) from there on; pairs whose bound is too small, sizes included, are never looked at.
@@ -50,35 +49,22 @@ SHORT_LIST = 128
 SENT_PAIRS = 1_000_000
 
 
-def sets_of(column: pa.Array, words: int, counts: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
-    """The sorted distinct shingle hashes of each text and, from the ``counts`` of words, how often the rarest word of each occurs."""
+def sets_of(column: pa.Array, words: int) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
     for _, data, offsets in pieces(column):
         hashes, bounds = word_hashes(data, offsets)
-        often = None if counts is None else word_counts(hashes, counts)
         for k in range(len(offsets) - 1):
             own = hashes[bounds[k] : bounds[k + 1]]
-            width = min(words, len(own))
-            found = shingled(own, width) + np.uint64(len(own) if 0 < len(own) < words else 0)
-            if not len(own):
-                yield np.zeros(0, np.uint64), None if often is None else np.zeros(0, np.int64)
-            elif often is None:
-                yield np.unique(found), None
+            if 0 < len(own) < words:
+                yield shingled(own, len(own)) + np.uint64(len(own))
             else:
-                found, first = np.unique(found, return_index=True)
-                rarest = np.lib.stride_tricks.sliding_window_view(often[bounds[k] : bounds[k + 1]], width).min(1)
-                yield found, rarest[first]
+                yield np.unique(shingled(own, words))
 
 
-def _slots(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _slots(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     low = np.uint64((1 << SKETCH_BITS) - 1)
-    first = (hashes & low).astype(np.int64)
-    return first, ((hashes >> np.uint64(SKETCH_BITS)) & low).astype(np.int64) + (1 << SKETCH_BITS)
-
-
-def word_counts(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """How often each word occurs, from above; coarse on purpose, so that rare words are alike."""
-    one, two = _slots(hashes)
-    return np.minimum(counts[one], counts[two])
+    first = (shingles & low).astype(np.int64)
+    return first, ((shingles >> np.uint64(SKETCH_BITS)) & low).astype(np.int64) + (1 << SKETCH_BITS)
 
 
 _PROFILE = "doc_id long, n long, d1 long, d2 long, part int, counts binary"
@@ -90,10 +76,9 @@ def _profiled(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
     names = [f.split()[0] for f in _PROFILE.split(", ")]
     for batch in batches:
         rows = []
-        for _, data, offsets in pieces(batch.column("text")):
-            for slots in _slots(word_hashes(data, offsets)[0]):
-                counts += np.bincount(slots, minlength=len(counts))
-        for found, _ in sets_of(batch.column("text"), words):
+        for found in sets_of(batch.column("text"), words):
+            for slots in _slots(found):
+                np.add.at(counts, slots, 1)
             rows.append((len(found), *np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), np.int64).tolist()))
         n, d1, d2 = zip(*rows) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays(
@@ -131,9 +116,10 @@ def _prefixes(batches: Iterator[pa.RecordBatch], sent, words: int, percent: int)
     counts = sent.value
     for batch in batches:
         sizes, kept, bits = [], [], []
-        for found, rarest in sets_of(batch.column("text"), words, counts):
+        for found in sets_of(batch.column("text"), words):
             n = len(found)
-            ranks = np.lexsort((found, rarest))
+            one, two = _slots(found)
+            ranks = np.lexsort((found, np.minimum(counts[one], counts[two])))
             sizes.append(n)
             kept.append(found[ranks[: n + percent * -n // 100 + 1 if n else 0]].astype(np.int64))
             bits.append(parities(found))
@@ -177,7 +163,7 @@ def plausible(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kept = [x.astype(np.int64) for x, _ in sets_of(batch.column("text"), words)]
+        kept = [x.astype(np.int64) for x in sets_of(batch.column("text"), words)]
         bounds = np.cumsum([0, *map(len, kept)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.zeros(0, np.int64), *kept])))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "set"])
