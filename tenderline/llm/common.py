@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -43,9 +44,11 @@ def texts(docs: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; one of our own only where the session names none (tests)."""
+    """The folder all executors share; one of our own only for a session in one process that names none (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="llm-")
         spark.sparkContext.setCheckpointDir(found)
     return found
