@@ -4,15 +4,16 @@ Both tokenizers split the same bytes, so a text falls apart at the offsets where
 every token of one is linked to every token of the other.
 
 1. Survey. Tasks align their documents in blocks and give, per block, the distinct pairs with the number of documents that hold
-   each linked, split into shards by a hash of the pair; beside them the block's texts, compressed.
+   each linked, split into shards by a hash of the pair; beside them the groups of the block's documents, as numbers in a table
+   of the distinct groups (kinds) of a piece, the frequent ones first, compressed.
 2. Index. The distinct pairs of a shard get a minimal perfect hash (``lines.Shard``); the pair itself is stored at its number, so
    a lookup is verified exactly.
 3. Counts. Blocks add their counts into dense vectors indexed by the hash, one for each shard and salt; the vectors of all salts
    are summed in a second step. The best count of an id is a maximum over the vectors, as many numbers as the vocabulary has ids.
-4. Second pass. The pairs of a block are looked up in the vectors, the results meet the block's texts, and its documents are
-   aligned again: every link gets its pair's count.
+4. Second pass. The pairs of a block are looked up in the vectors, the results meet the block's groups, every link of a kind
+   gets its pair's count, and a document's figures are sums over the kinds of its groups. No text is encoded twice.
 
-In 2 to 4 the rows that meet (an index and the blocks' pairs, a block's counts and its texts) are dealt by their key, sorted and read one
+In 2 to 4 the rows that meet (an index and the blocks' pairs, a block's counts and its groups) are dealt by their key, sorted and read one
 after the other, so a task holds one shard or one block at a time. Groups with very many links are counted by distinct ids.
 
 Defined results: texts that are null, empty or whose tokens do not give back their bytes have no tokens (zeros, no groups); a null
@@ -128,6 +129,42 @@ class Alignment:
         ends = places[ends].tolist()
         return [data[a : b - 1].to_pybytes() if b > a else b"" for a, b in zip([0, *ends], ends)]
 
+    def kinds(self) -> tuple[Alignment, np.ndarray]:
+        """The distinct groups, frequent ones first and each as a document of its own, and the number of every group among them."""
+        n = len(self.doc)
+        if not n:
+            return Alignment(0, self.ids_a, self.ids_b, self.group_a, self.group_b, self.doc), np.zeros(0, np.int64)
+        sides = [(ids, group, np.searchsorted(group, np.arange(n + 1))) for ids, group in ((self.ids_a, self.group_a), (self.ids_b, self.group_b))]
+        seed = 0
+        while True:
+            hashes = np.zeros(n, np.uint64)
+            for ids, group, first in sides:
+                placed = ids.astype(np.uint64) << np.uint64(32) | (np.arange(len(ids)) - first[group]).astype(np.uint64)
+                seed += 1
+                hashes = mixed(hashes + np.add.reduceat(mixed(placed + np.uint64(seed << 16)), first[:-1]))
+            _, like, code, times = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+            model = like[code]
+            if all(_alike(ids, group, first, model) for ids, group, first in sides):
+                break
+        order = np.argsort(-times, kind="stable")
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        found = []
+        for ids, _, first in sides:
+            size = np.diff(first)[like[order]]
+            at = np.arange(size.sum()) + np.repeat(first[like[order]] - (np.cumsum(size) - size), size)
+            found.append((ids[at], np.repeat(np.arange(len(size)), size)))
+        (ids_a, group_a), (ids_b, group_b) = found
+        return Alignment(len(order), ids_a, ids_b, group_a, group_b, np.arange(len(order))), number[code]
+
+
+def _alike(ids: np.ndarray, group: np.ndarray, first: np.ndarray, model: np.ndarray) -> bool:
+    """Whether each group has the ids of its model."""
+    size = np.diff(first)
+    if (size != size[model]).any():
+        return False
+    return bool((ids == ids[np.arange(len(ids)) + (first[model] - first[:-1])[group]]).all())
+
 
 class Aligner:
     """Tokenizer A from a byte-level file (its text), tokenizer B from a model of pieces (its bytes)."""
@@ -143,14 +180,13 @@ class Aligner:
             self.lengths_a[i] = len(token)
         self.wide = len(self.bytes_b)
 
-    def align(self, rows: list[str | None], sound: bool = False) -> Alignment:
-        """``sound``: all texts are known to come back from their pieces."""
+    def align(self, rows: list[str | None]) -> Alignment:
         full = [k for k, text in enumerate(rows) if text]
         split_b = self.b.encode([rows[k] for k in full], num_threads=1)
         doc, ids_a, ids_b = [], [], []
         for k, ids in zip(full, split_b):
             raw = " " + rows[k]
-            if sound or b"".join(map(self.bytes_b.__getitem__, ids)) == raw.encode():
+            if b"".join(map(self.bytes_b.__getitem__, ids)) == raw.encode():
                 doc.append(k)
                 ids_a.append(self.a.encode(raw))
                 ids_b.append(np.array(ids, np.int64))
@@ -173,17 +209,33 @@ def aligner(spec: str, model: bytes) -> Aligner:
     return Aligner(spec, model)
 
 
-def _packed(doc_ids: pa.Array, rows: pa.Array) -> bytes:
-    batch = pa.RecordBatch.from_arrays([doc_ids, rows], ["doc_id", "text"])
+def _packed(doc_ids: pa.Array, sizes: np.ndarray, kinds: Alignment, code: np.ndarray) -> bytes:
+    """Documents with their number of groups, the kinds of a piece and the kind of each group, by bytes of one weight."""
+    planes = code.astype("<u4").view(np.uint8).reshape(-1, 4).T.ravel()
+    columns = [doc_ids, *(pa.array(x) for x in (sizes, kinds.ids_a, kinds.ids_b, kinds.group_a, kinds.group_b, planes))]
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in columns]
+    batch = pa.RecordBatch.from_arrays(lists, [str(k) for k in range(len(lists))])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
-def _opened(blob: bytes) -> tuple[pa.Array, list[str | None]]:
+def _opened(blob: bytes) -> tuple[pa.Array, np.ndarray, Alignment, np.ndarray]:
     (batch,) = pa.ipc.open_stream(blob)
-    return batch.column("doc_id"), batch.column("text").to_pylist()
+    doc_ids, *rest = (column.flatten() for column in batch.columns)
+    sizes, ids_a, ids_b, group_a, group_b, planes = (x.to_numpy() for x in rest)
+    code = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    n = int(group_a.max(initial=-1)) + 1
+    return doc_ids, sizes, Alignment(n, ids_a, ids_b, group_a, group_b, np.arange(n)), code
+
+
+def _joined(kinds: Alignment, code: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The text of each document's groups, which end at ``ends``."""
+    shown = pc.take(pa.array([x + b";" for x in kinds.told()], pa.large_binary()), pa.array(code))
+    _, places, data = shown.buffers()
+    places = np.frombuffer(places, np.int64, len(shown) + 1)[ends].tolist() if len(shown) else [0] * len(ends)
+    return [data[a : b - 1].to_pybytes() if b > a else b"" for a, b in zip([0, *places], places)]
 
 
 def _cuts(rows: pa.Array) -> Iterator[tuple[int, int, int]]:
@@ -224,15 +276,29 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return (mixed(keys.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
 
 
-_SURVEY = "block long, shard int, keys binary, counts binary, texts binary"
+_SURVEY = "block long, shard int, keys binary, counts binary, groups binary"
 _SURVEY_NAMES = [f.split()[0] for f in _SURVEY.split(", ")]
-_SURVEY_ARROW = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("texts", pa.binary())])
+_SURVEY_ARROW = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("groups", pa.binary())])
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_SURVEY_ARROW)], schema=_SURVEY_ARROW)
 
 
+def _held(doc: np.ndarray, kinds: Alignment, code: np.ndarray, wide: int) -> np.ndarray:
+    """The linked pairs of each document, once for each."""
+    n = kinds.size
+    pairs, kind, _ = kinds.links(wide)
+    ranks = np.lexsort((pairs, kind))
+    pairs, kind = pairs[ranks], kind[ranks]
+    new = np.append(True, (pairs[1:] != pairs[:-1]) | (kind[1:] != kind[:-1]))[: len(kind)]
+    pairs, first = pairs[new], np.searchsorted(kind[new], np.arange(n + 1))
+    doc, kind = np.divmod(np.unique(doc * n + code), max(n, 1))
+    each = np.diff(first)[kind]
+    at = np.arange(each.sum()) + np.repeat(first[kind] - (np.cumsum(each) - each), each)
+    return np.unique(np.repeat(doc, each) << 40 | pairs[at]) & (1 << 40) - 1
+
+
 def _survey(batches: Iterator[pa.RecordBatch], sent, shards: int) -> Iterator[pa.RecordBatch]:
     one, block, sums, size = aligner(*sent.value), TaskContext.get().partitionId() << 32, _Sums(), 0
 
@@ -257,12 +323,11 @@ def _survey(batches: Iterator[pa.RecordBatch], sent, shards: int) -> Iterator[pa
             size += n
             part = rows.slice(a, b - a).to_pylist()
             found = one.align(part)
-            sound = set(found.doc.tolist())
-            kept = pa.array([text if k in sound else None for k, text in enumerate(part)], pa.string())
-            pairs, doc, _ = found.links(one.wide)
-            pairs = np.unique(doc << 40 | pairs) & (1 << 40) - 1
+            kinds, code = found.kinds()
+            pairs = _held(found.doc, kinds, code, one.wide)
             sums.add(pairs, np.ones(len(pairs), np.int64))
-            yield _rows([(block, None, None, None, _packed(ids.slice(a, b - a), kept))])
+            sizes = np.bincount(found.doc, minlength=len(part))
+            yield _rows([(block, None, None, None, _packed(ids.slice(a, b - a), sizes, kinds, code))])
     yield closed()
 
 
@@ -389,13 +454,13 @@ _FOUND = (
 )
 
 
-def _resolved(batches: Iterator[pa.RecordBatch], sent, most, with_text: bool) -> Iterator[pa.RecordBatch]:
-    """Documents aligned again, after the counts of their block have come by."""
-    one, best = aligner(*sent.value), most.value
+def _resolved(batches: Iterator[pa.RecordBatch], wide: int, most, with_text: bool) -> Iterator[pa.RecordBatch]:
+    """The figures of documents from their groups, after the counts of their block have come by."""
+    best = most.value
     names = [f.split()[0] for f in _FOUND.split(", ")]
     block, known = None, _Sums()
     for batch in batches:
-        for own, keys, counts, blob in zip(*(batch.column(c).to_pylist() for c in ("block", "keys", "counts", "texts")), strict=True):
+        for own, keys, counts, blob in zip(*(batch.column(c).to_pylist() for c in ("block", "keys", "counts", "groups")), strict=True):
             if own != block:
                 block, known = own, _Sums()
             if blob is None:
@@ -403,15 +468,18 @@ def _resolved(batches: Iterator[pa.RecordBatch], sent, most, with_text: bool) ->
                 continue
             if known.waiting:
                 known.settle()
-            doc_ids, rows = _opened(blob)
-            found = one.align(rows, sound=True)
-            pairs, doc, times = found.links(one.wide)
+            doc_ids, sizes, kinds, code = _opened(blob)
+            pairs, kind, times = kinds.links(wide)
             counts = known.counts[np.searchsorted(known.keys, pairs)]
-            n_best = found.per_doc(np.where(counts == best[pairs // one.wide], times, 0), doc)
-            told = found.told()
+            n_a, n_b, _, n_links = kinds.counts()
+            n_best = kinds.per_doc(np.where(counts == best[pairs // wide], times, 0), kind)
+            ends = np.cumsum(sizes)
+            own = (np.concatenate([[0], np.cumsum(x[code])]) for x in (n_a, n_b, n_links, n_best, kinds.per_doc(counts * times, kind)))
+            n_a, n_b, *rest = (x[ends] - x[ends - sizes] for x in own)
+            told = _joined(kinds, code, ends)
             digests = [hashlib.sha256(x).hexdigest() if x else "" for x in told]
             shown = [x.decode() for x in told] if with_text else [None] * len(told)
-            numbers = [pa.array(x, pa.int64()) for x in (*found.counts(), n_best, found.per_doc(counts * times, doc))]
+            numbers = [pa.array(x, pa.int64()) for x in (n_a, n_b, sizes, *rest)]
             yield pa.RecordBatch.from_arrays([doc_ids, *numbers, pa.array(digests, pa.string()), pa.array(shown, pa.string())], names)
 
 
@@ -437,9 +505,9 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, with_text: bool = False)
         most[row["a"]] = row["most"]
     told = session.sparkContext.broadcast(most)
     looked = _beside(counted, pairs, salt).mapInArrow(_looked_up, _SURVEY)
-    both = looked.unionByName(surveyed.where("texts IS NOT NULL"))
-    dealt = both.repartition(n, "block").sortWithinPartitions("block", F.col("texts").isNotNull())
-    found = dealt.mapInArrow(lambda b: _resolved(b, sent, told, with_text), _FOUND)
+    both = looked.unionByName(surveyed.where("groups IS NOT NULL"))
+    dealt = both.repartition(n, "block").sortWithinPartitions("block", F.col("groups").isNotNull())
+    found = dealt.mapInArrow(lambda b: _resolved(b, wide, told, with_text), _FOUND)
     return found if with_text else found.drop("groups")
 
 

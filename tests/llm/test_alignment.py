@@ -107,3 +107,26 @@ def test_sums():
     empty = _Sums()
     empty.settle()
     assert len(empty.keys) == len(empty.counts) == 0
+
+
+def test_groups_come_back_without_texts():
+    """What the first pass keeps of a piece gives every group again, so that the second encodes no text."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tenderline.llm.alignment import Aligner, _held, _joined, _opened, _packed
+
+    with open(A, encoding="utf-8") as spec, open(B, "rb") as model:
+        one = Aligner(spec.read(), model.read())
+    draw = random.Random(12)
+    rows = ["".join(draw.choice(PIECES) for _ in range(draw.randint(0, 60))) for _ in range(40)] + [None, "", "a▁b", "x" + " " * 700]
+    for part in (rows, [None, "", "a▁b"], []):
+        found = one.align(part)
+        kinds, code = found.kinds()
+        assert len(set(kinds.told())) == kinds.size
+        ids = pa.array([None, *range(1, len(part))][: len(part)], pa.int64())
+        doc_ids, sizes, kinds, code = _opened(_packed(ids, np.bincount(found.doc, minlength=len(part)), kinds, code))
+        assert doc_ids.to_pylist() == ids.to_pylist()
+        assert _joined(kinds, code, np.cumsum(sizes)) == found.told()
+        pairs, doc, _ = found.links(one.wide)
+        assert Counter(_held(found.doc, kinds, code, one.wide).tolist()) == Counter(p for _, p in set(zip(doc.tolist(), pairs.tolist())))
