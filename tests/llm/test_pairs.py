@@ -167,3 +167,65 @@ def test_common_lines_keep_passages(docs):
     rows += [(200 + k, " ".join(fresh(30) + fresh(50)[:k] + shared + fresh(30))) for k in range(3)]
     found = repeated_passages(docs(rows)).collect()
     assert {r["doc_id"] for r in found} == {100, 101, 102, 103, 200, 201, 202}
+
+
+def test_windows_of_one_document_are_not_kept(docs, monkeypatch):
+    """Only windows that two documents share become rows, and what a step writes is deleted after it."""
+    import os
+
+    from tenderline.llm import passages
+    from tenderline.llm.common import shared_folder, written
+
+    kept = {}
+
+    def seen(df, name):
+        out = written(df, name)
+        kept.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(passages, "written", seen)
+    draw = random.Random(21)
+    alone = [(k, " ".join(f"w{draw.randrange(10**9)}" for _ in range(400))) for k in range(12)]
+    assert repeated_passages(docs(alone)).count() == 0 and kept["windows"] == [0]
+    both = docs([*alone, (50, alone[3][1])])
+    assert {(r["doc_id"], r["rep_doc_id"]) for r in repeated_passages(both).collect()} == {(50, 3), (3, 3)}
+    assert kept["windows"][1] > 0
+    folder = shared_folder(both.sparkSession).removeprefix("file:")
+    assert not [name for name in os.listdir(folder) if name.startswith("step-")]
+
+
+def test_packed_numbers_and_counts():
+    import numpy as np
+
+    from tenderline.llm.passages import _bytes, _counted, _dealt, _numbers, _steps
+
+    draw = np.random.default_rng(3)
+    keys = np.sort(draw.integers(0, 1 << 48, 5000, dtype=np.uint64))
+    ids = draw.integers(-(1 << 62), 1 << 62, 5000)
+    one, two = _numbers(_bytes(_steps(keys), ids.view(np.uint64)), 2)
+    assert (np.cumsum(one) == keys).all() and (two.view(np.int64) == ids).all()
+    batch = _dealt(keys, 48, 7, ids.view(np.uint64))
+    shards = batch.column("shard").to_pylist()
+    back = [_numbers(blob, 2) for blob in batch.column("blob").to_pylist()]
+    assert shards == sorted(set(shards)) and (np.concatenate([np.cumsum(x[0]) for x in back]) == keys).all()
+    some = draw.integers(0, 50, 300)
+    found, counts = _counted(some, (np.add, np.ones(300, np.int64)))
+    assert (np.bincount(some, minlength=50)[found] == counts).all() and len(found) == len(set(some.tolist()))
+    assert [len(x) for x in _counted(some[:0], (np.add, some[:0]))] == [0, 0]
+
+
+def test_no_pair_with_a_passage_is_ruled_out():
+    import numpy as np
+
+    from tenderline.llm.passages import common_passages, may_repeat
+
+    draw, some = np.random.default_rng(8), 0
+    for _ in range(300):
+        a = draw.integers(0, 1 << 62, 150)
+        b = np.concatenate([draw.integers(0, 1 << 62, draw.integers(0, 60)), a[draw.integers(0, 60) :][: draw.integers(30, 90)]])
+        b[draw.integers(0, len(b), draw.integers(0, 12))] += 1
+        if common_passages(a, b):
+            some += 1
+            assert may_repeat(a.astype(np.uint16), b.astype(np.uint16), 46)
+    assert some > 20
+    assert not may_repeat(a.astype(np.uint16), draw.integers(0, 1 << 62, 150).astype(np.uint16), 46)
