@@ -20,8 +20,9 @@ are compared with the hub only:
   only sets that share a differing shingle are met, through the rarest differing shingles, and the size of their
   intersection follows from the hub's: |h| - |h-x| - |h-y| + |shared differences|. Texts are not compared again.
 * below t': cannot be linked to what is linked to the hub. If at most ``SHORT_LIST`` such free sets are left, each is
-  compared with the list's rest (a bounded multiple of the entries); else the rest goes through another round with a
-  free set as hub.
+  compared with the list's rest (a bounded multiple of the entries); else the rest goes through another round with
+  HUB_GROWTH times as many hubs, free sets first, each laid against all that come after it. So a list takes a logarithmic
+  number of rounds, also if no two of its sets are similar.
 
 No link between different sets is lost as far as components go, and no list, however long, is squared.
 
@@ -45,6 +46,8 @@ from tenderline.llm.components import components
 SKETCH_BITS = 18
 SKETCH_PART = 1 << 10
 SHORT_LIST = 128
+# Hubs of a list in each round, as a multiple of those in the round before.
+HUB_GROWTH = 4
 # Pairs of ids that are broadcast at most (16 MB); more are joined by a shuffle.
 SENT_PAIRS = 1_000_000
 
@@ -255,17 +258,21 @@ def links(rows: DataFrame, profile: DataFrame, reps: DataFrame, words: int, perc
     members = entries.withColumn("hub", hub).where("hub.x <> y")
     members = members.select("w", "y", "n", "p", F.lit(None).cast("long").alias("g"), "hub.*")
     members = written(members, "lists")
-    found = None
+    beside, hubs, found = members, 1, None
     while True:
-        pairs = members.where(_may_reach(near_percent, "n", "p", "m", "q")).select("x", "y").distinct()
+        pairs = beside.where(_may_reach(near_percent, "n", "p", "m", "q")).select("x", "y").distinct()
         pairs = written(plausible(pairs, arrays, near_percent), "pairs")
         near = written(compared(pairs, rows, words, near_percent, True), "near")
         here = near.where(_linked(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
         here = here.unionByName(derived_links(near, percent))
-        far = members.join(near.select("x", "y", _linked(percent).alias("done")), ["x", "y"], "left")
-        # Sets near one hub are settled among themselves; ``g`` is that hub.
-        settled = F.when(F.col("done").isNotNull(), F.col("x")).otherwise(F.col("g")).alias("g")
-        rest = far.where("done IS NULL OR NOT done").select("w", "y", "n", "p", settled)
+        # Sets near one hub are settled among themselves; ``g`` is that hub, one of them if there are several.
+        told = near.select("x", "y", _linked(percent).alias("done"), F.col("x").alias("h"))
+        if hubs == 1:
+            far = members.join(told, ["x", "y"], "left")
+        else:
+            told = heads.join(told, "x").groupBy("w", "y").agg(F.max("done").alias("done"), F.min("h").alias("h"))
+            far = ranked.where(F.col("nth") > hubs).join(told, ["w", "y"], "left")
+        rest = far.where("done IS NULL OR NOT done").select("w", "y", "n", "p", F.coalesce("h", "g").alias("g"))
         sizes = rest.groupBy("w").agg(
             F.count(F.lit(1)).alias("size"), F.count_if(F.col("g").isNull()).alias("free"), F.min("g").alias("g0"), F.max("g").alias("g1")
         ).where("size > 1 AND (free > 0 OR g0 < g1)")
@@ -283,12 +290,14 @@ def links(rows: DataFrame, profile: DataFrame, reps: DataFrame, words: int, perc
             here = here.unionByName(compared(pairs, rows, words, percent, False).select(F.col("x").alias("a"), F.col("y").alias("b")))
         here = written(here.distinct(), "links")
         found = here if found is None else found.unionByName(here)
+        # More hubs in each round: a list of sets that are far from each other takes a logarithmic number of rounds.
+        hubs *= HUB_GROWTH
         again = Window.partitionBy("w").orderBy(F.col("g").isNotNull(), "p", "y")
-        hub = F.first(F.struct(F.col("y").alias("x"), F.col("n").alias("m"), F.col("p").alias("q"))).over(again)
-        members = rest.where("NOT few").withColumn("hub", hub).where("hub.x <> y").select("w", "y", "n", "p", "g", "hub.*")
-        members = written(members, "lists")
-        if members.isEmpty():
+        ranked = written(rest.where("NOT few").drop("few", "mixed_hubs").withColumn("nth", F.row_number().over(again)), "lists")
+        if ranked.isEmpty():
             return found
+        heads = ranked.where(F.col("nth") <= hubs).select("w", F.col("y").alias("x"), F.col("n").alias("m"), F.col("p").alias("q"), F.col("nth").alias("k"))
+        beside = ranked.join(heads, "w").where("nth > k")
 
 
 def similar_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:

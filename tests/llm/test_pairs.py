@@ -229,3 +229,20 @@ def test_no_pair_with_a_passage_is_ruled_out():
             assert may_repeat(a.astype(np.uint16), b.astype(np.uint16), 46)
     assert some > 20
     assert not may_repeat(a.astype(np.uint16), draw.integers(0, 1 << 62, 150).astype(np.uint16), 46)
+
+
+def test_a_list_of_sets_far_from_each_other_takes_few_rounds(docs, monkeypatch):
+    """All shingles are common and no two texts are similar, but for some near copies: hubs grow from round to round."""
+    from tenderline.llm import jaccard
+
+    written, rounds = jaccard.written, []
+    monkeypatch.setattr(jaccard, "written", lambda df, name: (rounds.append(1) if name == "rest" else None) or written(df, name))
+    monkeypatch.setattr(jaccard, "SHORT_LIST", 2)
+    rows = [(20 * i + j, f"a{i} x y z{j}") for i in range(14) for j in range(14)]
+    line = " ".join(f"x y v{k}" for k in range(9))
+    rows += [(900 + k, f"a{k % 3} {line} {' '.join(f'u{m}' for m in range(30) if m // 3 != k % 5)}") for k in range(20)]
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in similar_groups(docs(rows), 3, 90).collect()}
+    assert found == brute_groups(rows, 3, 90)
+    assert 1 < len(rounds) <= 4
+    wide = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in similar_groups(docs(rows), 3, 70).collect()}
+    assert wide == brute_groups(rows, 3, 70) and len({c for _, c in wide.values()}) < len(wide)
